@@ -20,19 +20,18 @@ def _row_id(text: str) -> str:
     return " || '-' || ".join(f"substr({digest}, {at}, {n})" for at, n in parts)
 
 
-def _share(words: str, label: str) -> str:
-    """Share of a label's words (without articles) among the words of a text."""
-    wanted = f"list_filter(list_distinct(string_split(lower({label}), ' ')), lambda w: w NOT IN ('a', 'an', 'the'))"
-    return f"len(list_filter({wanted}, lambda w: list_contains({words}, w)))::DOUBLE / len({wanted})"
-
-
 def _best_label(source: str, key: str, text: str, labels: list[str]) -> str:
+    """Label with the largest share of its words (articles aside) in the text, the earlier on a tie."""
+    words = [[w for w in dict.fromkeys(label.split()) if w not in ("a", "an", "the")] for label in labels]
+    wanted = "[" + ", ".join(_list(w) for w in words) + "]"
     return f"""
     SELECT {key}, label AS label_product, round(score, 6) AS score_product FROM (
-      SELECT {key}, label, {_share('words', 'label')} AS score,
-             row_number() OVER (PARTITION BY {key} ORDER BY {_share('words', 'label')} DESC, at) AS place
-      FROM (SELECT {key}, string_split_regex(lower({text}), '[^a-z]+') AS words FROM {source}),
-           (SELECT unnest({_list(labels)}) AS label, unnest(range({len(labels)})) AS at)
+      SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY score DESC, pos) AS place FROM (
+        SELECT {key}, label, pos, len(list_intersect(wanted, words))::DOUBLE / len(wanted) AS score
+        FROM (SELECT {key}, string_split_regex(lower({text}), '[^a-z]+') AS words FROM {source}),
+             (SELECT unnest({_list(labels)}) AS label, unnest({wanted}) AS wanted,
+                     unnest(range({len(labels)})) AS pos)
+      )
     ) WHERE place = 1"""
 
 
@@ -232,7 +231,7 @@ ORACLES: dict[str, str] = {
     "page_text": f"SELECT page_id, md5({_decoded(_VISIBLE)}) AS text_md5 FROM pages",
     "fetch_time": """
         SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g+0000') AS retrieved,
-               epoch_ms(ts) AS retrieved_ms
+               epoch_us(ts) // 1000 AS retrieved_ms
         FROM events""",
     "price_scalar": f"""
         SELECT p_partkey, round(CASE style WHEN 0 THEN p WHEN 1 THEN p * 100
