@@ -43,8 +43,8 @@ def row_id(*parts: Column) -> Column:
 
 def image_key(bucket: str | None, folder: str | None, listing_id: Column) -> Column:
     """``bucket/folder/id.png``; bucket and folder are optional."""
-    prefix = [F.lit(part) for part in (bucket, folder) if part]
-    return F.concat_ws("/", *prefix, F.concat(listing_id, F.lit(".png")))
+    prefix = "".join(f"{part}/" for part in (bucket, folder) if part)
+    return F.concat(F.lit(prefix), listing_id, F.lit(".png"))
 
 
 def to_types(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -254,20 +254,25 @@ def with_site_rules(pages: DataFrame, rules: DataFrame, html: str = "html") -> D
     Folding leaves at most one row per known site, so the broadcast is bounded by that list.
     """
     joined = pages.join(F.broadcast(fold_rules(rules)), "site", "left")
+    # The empty group at the end stands in for group 1 of a pattern without groups.
+    found = joined.withColumn(
+        "_found",
+        F.transform_values(
+            "rules",
+            lambda _, pattern: F.call_function(
+                "regexp_extract", F.col(html), F.concat(pattern, F.lit("()")), F.lit(1)
+            ),
+        ),
+    )
 
-    def found(name: str) -> Column:
-        pattern = F.element_at("rules", F.lit(name))
-        # The empty group at the end stands in for group 1 of a pattern without groups.
-        text = F.call_function(
-            "regexp_extract", F.col(html), F.concat(pattern, F.lit("()")), F.lit(1)
-        )
-        value = F.nullif(text, F.lit(""))
-        return price_from_text(value) if name == "price" else value
+    def value(name: str) -> Column:
+        text = F.nullif(F.element_at("_found", F.lit(name)), F.lit(""))
+        return price_from_text(text) if name == "price" else text
 
-    record = candidate(**{name: found(name) for name in _RULE_FIELDS})
-    return joined.withColumn(
-        "rule_candidate", F.when(F.col("rules").isNotNull(), record)
-    ).drop("rules")
+    record = candidate(**{name: value(name) for name in _RULE_FIELDS})
+    return found.withColumn(
+        "rule_candidate", F.when(F.col("_found").isNotNull(), record)
+    ).drop("rules", "_found")
 
 
 # --- descriptions kept in frames --------------------------------------------------------------

@@ -102,9 +102,9 @@ class Element:
 class TrackedPage:
     """Nested microdata items and the seller block of one page."""
 
-    def __init__(self, base_url, names):
-        self.base_url, self.names = base_url, names
-        self.open, self.items = [], []
+    def __init__(self, base_url, names, has_seller_block):
+        self.base_url, self.names, self.has_seller_block = base_url, names, has_seller_block
+        self.open, self.capturing, self.items = [], [], []
         self.seller = self.seller_info = self.seller_url = self.location = None
         self.seen = set()
 
@@ -112,15 +112,15 @@ class TrackedPage:
         return any(e.role == role for e in self.open)
 
     def text(self, data):
-        for element in self.open:
-            if element.parts is not None:
-                element.parts.append(data)
+        for element in self.capturing:
+            element.parts.append(data)
 
     def close(self, name):
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at].name == name:
                 for element in reversed(self.open[at:]):
                     if element.finish:
+                        self.capturing.remove(element)
                         element.finish(element.parts)
                 del self.open[at:]
                 return
@@ -135,11 +135,10 @@ class TrackedPage:
         element = Element(name)
         if attrs:
             self.microdata(element, attrs)
-        self.seller_block(element, attrs)
+        if self.has_seller_block:
+            self.seller_block(element, attrs)
         if name not in VOID:
             self.open.append(element)
-        elif element.finish:
-            element.finish(element.parts)
 
     def microdata(self, element, attrs):
         parent = next((e.item for e in reversed(self.open) if e.item is not None), None)
@@ -168,11 +167,12 @@ class TrackedPage:
         except ValueError:
             return address
 
-    @staticmethod
-    def capture(element, use):
+    def capture(self, element, use):
         """Collect the element's text; several uses of one element share it."""
         earlier = element.finish
-        element.parts = [] if element.parts is None else element.parts
+        if earlier is None:
+            element.parts = []
+            self.capturing.append(element)
 
         def finish(parts):
             if earlier:
@@ -214,9 +214,9 @@ class TrackedPage:
 
 def scan(source, base_url, names):
     """Everything the extractors need from one page, as a dict with the fields of PARSED."""
-    markers = (names["seller"], "ux-labels-values")
-    track = "itemscope" in source or any(m in source for m in markers)
-    page = TrackedPage(base_url or "", names)
+    has_seller_block = names["seller"] in source or "ux-labels-values" in source
+    track = has_seller_block or "itemscope" in source
+    page = TrackedPage(base_url or "", names, has_seller_block)
     title, titled = None, False
     text, jsonld, metas, frame_src = [], [], [], None
     at, end = 0, len(source)

@@ -169,9 +169,8 @@ def crawl_archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write_archives(lines, f"{root}/{CRAWLER}/data_pages", F.lit('{"url": "cut'), broken)
     read = archives.read_archives(spark, archives.archive_glob(root, CRAWLER, temporal=False))
-    return archives.listing_pages(read, token="").select(
-        "url", "domain", "retrieved", F.md5("html").alias("html_md5")
-    )
+    pages = archives.listing_pages(read, token="").filter(filters.has_content(F.col("html")))
+    return pages.select("url", "domain", "retrieved", F.md5("html").alias("html_md5"))
 
 
 def temporal_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,7 +535,8 @@ def ebay_description(spark: SparkSession, sf_dir: str) -> DataFrame:
 def domain_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = archives.listing_pages(sample_crawl.crawl(spark, sf_dir))
     found = extract.with_site_rules(pages, sample_crawl.rules(spark))
-    return found.filter(F.col("rule_candidate").isNotNull()).select(
+    matched = F.col("rule_candidate").isNotNull() & F.col("html").isNotNull()
+    return found.filter(matched).select(
         "page_order",
         F.col("rule_candidate.name").alias("name"),
         F.col("rule_candidate.seller").alias("seller"),
