@@ -70,9 +70,17 @@ def zero_shot(
 
 
 def train_text_classifier(
-    examples: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 18
+    examples: DataFrame,
+    path: str,
+    text: str = "text",
+    label: str = "label",
+    features: int = 1 << 18,
 ) -> PipelineModel:
-    """Hashed word counts, IDF weights, logistic regression."""
+    """Hashed word counts, IDF weights, logistic regression; the model is kept under ``path``.
+
+    The model is returned as read back: fresh from training it drags its summary, and with it the
+    session, into every task.
+    """
     stages = [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+"),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
@@ -90,7 +98,8 @@ def train_text_classifier(
     prepared = examples.select(
         F.coalesce(text, F.lit("")).alias("_text"), F.col(label).cast("double").alias("_label")
     )
-    return Pipeline(stages=stages).fit(prepared)
+    Pipeline(stages=stages).fit(prepared).write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def classify_text(df: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:

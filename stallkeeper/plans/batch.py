@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from stallkeeper.constants import LISTING_URL_TOKEN
 from stallkeeper.functions.fields import to_types
 from stallkeeper.operators.classify import Scorer, TextClassifier, run_task
+from stallkeeper.operators.counters import observed
+from stallkeeper.operators.filters import has_content
 from stallkeeper.operators.geo import geocode
 from stallkeeper.operators.images import with_image_path
 from stallkeeper.plans.listings import ORDER, build_listings
@@ -38,6 +41,8 @@ ENRICHMENT = T.StructType(
     ]
 )
 STORED = T.StructType(LISTINGS.fields + ENRICHMENT.fields)
+log = logging.getLogger(__name__)
+
 ROW_KEY = ["snapshot", "url"]
 ROW_BITS = 33
 
@@ -139,8 +144,9 @@ def commit_run(
     history = committed_texts(
         read_or_empty(spark, job.table("seen_text"), SEEN_TEXT), read_manifest(spark, job)
     )
+    counted, counters = observed(lines, has_content(F.col("content")), f"run-{run_id}")
     listings, winners = build_listings(
-        lines,
+        counted,
         stage,
         rules=inputs.rules,
         frames=inputs.frames,
@@ -149,6 +155,7 @@ def commit_run(
         token=job.token,
         url_salts=job.url_salts,
     )
+    log.info("run %s: %s", run_id, counters.get)
     listings = stage(listings, "listings")
     if inputs.gazetteer is not None:
         listings = geocode(listings, inputs.gazetteer, ROW_KEY)

@@ -648,7 +648,8 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classify_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = classify.train_text_classifier(_labelled(spark, sf_dir), label="truth")
+    labelled = _labelled(spark, sf_dir)
+    model = classify.train_text_classifier(labelled, scratch(spark), label="truth")
     documents = table(spark, sf_dir, "documents")
     scored = classify.run_task(
         documents, "text-classification", lambda df: classify.classify_text(df, model)
@@ -660,7 +661,9 @@ def classifier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = _labelled(spark, sf_dir)
     # A fold that depends on the id alone: the model is judged on texts it was not trained on.
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(5))
-    model = classify.train_text_classifier(labelled.filter(fold > 0), label="truth")
+    model = classify.train_text_classifier(
+        labelled.filter(fold > 0), scratch(spark), label="truth"
+    )
     scored = classify.classify_text(labelled.filter(fold == 0), model)
     return classify.evaluate(classify.confusion(scored))
 

@@ -58,7 +58,10 @@ def write_csv(df: DataFrame, path: str) -> None:
         else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ]
-    df.select(*flat).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
+    writer = df.select(*flat).write.option("header", True).option("escape", '"')
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.mode("overwrite").csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> None:
