@@ -278,15 +278,15 @@ def with_site_rules(pages: DataFrame, rules: DataFrame, html: str = "html") -> D
 # --- descriptions kept in frames --------------------------------------------------------------
 
 
-def with_frame_description(
-    pages: DataFrame, frames: DataFrame, page_key: list[str], source: str = "frame_src"
+def frame_descriptions(
+    pages: DataFrame, frames: DataFrame, source: str = "frame_src"
 ) -> DataFrame:
-    """Add ``frame_description`` from already crawled frame pages ``(url, html)``.
+    """``frame_src, frame_description`` from already crawled frame pages ``(url, html)``.
 
     Frames nobody refers to are dropped first, and each remaining frame is read once.
     """
     wanted = pages.select(F.col(source).alias("url")).filter(F.col("url").isNotNull()).distinct()
-    texts = (
+    return (
         frames.select("url", "html")
         .join(wanted, "url", "left_semi")
         .groupBy("url")
@@ -296,7 +296,13 @@ def with_frame_description(
             clean_description(frame_text(F.col("html"))).alias("frame_description"),
         )
     )
-    return lookup(pages, texts, source, page_key)
+
+
+def with_frame_description(
+    pages: DataFrame, descriptions: DataFrame, page_key: list[str], source: str = "frame_src"
+) -> DataFrame:
+    """Add ``frame_description``. Stage the descriptions: the lookup measures them first."""
+    return lookup(pages, descriptions, source, page_key)
 
 
 # --- all evidence of a page -------------------------------------------------------------------

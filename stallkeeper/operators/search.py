@@ -52,13 +52,12 @@ def keyword_search(
 ) -> DataFrame:
     """Top rows by number of keyword occurrences, any case; ``matches`` holds the number."""
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    matches = sum(
-        (
-            F.size(F.split(lowered, r"\Q" + word.lower().replace(r"\E", "") + r"\E", -1)) - 1
-            for word in keywords
-        ),
-        F.lit(0),
-    )
+
+    def occurrences(word: str) -> Column:
+        without = F.replace(lowered, F.lit(word), F.lit(""))
+        return ((F.length(lowered) - F.length(without)) / len(word)).cast("int")
+
+    matches = sum((occurrences(word.lower()) for word in keywords), F.lit(0))
     found = df.withColumn("matches", matches).filter(F.col("matches") > 0)
     return found.orderBy(F.desc("matches"), key).limit(limit)
 

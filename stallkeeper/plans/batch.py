@@ -29,7 +29,7 @@ from stallkeeper.sources.manifest import (
     to_backfill,
     unprocessed,
 )
-from stallkeeper.sources.tables import write_partitions
+from stallkeeper.sources.tables import write_csv, write_partitions
 
 ENRICHMENT = T.StructType(
     [
@@ -135,6 +135,19 @@ def stored(listings: DataFrame) -> DataFrame:
     return to_types(listings, T.StructType(STORED.fields + extra))
 
 
+def write_listings(rows: DataFrame, job: Job) -> None:
+    """Rows go to the tasks of their snapshot, which adaptive execution splits or joins by size.
+
+    Without that, every task would write a file into every snapshot.
+    """
+    write_partitions(rows.hint("rebalance", "snapshot"), job.table("listings"), "snapshot", "run_id")
+
+
+def export_csv(spark: SparkSession, job: Job, path: str) -> None:
+    """The listings of the runs that count, as CSV."""
+    write_csv(read_listings(spark, job), path)
+
+
 def commit_run(
     spark: SparkSession, job: Job, inputs: Inputs, lines: DataFrame, files: DataFrame, run_id: str
 ) -> None:
@@ -160,12 +173,7 @@ def commit_run(
     if inputs.gazetteer is not None:
         listings = geocode(listings, inputs.gazetteer, ROW_KEY)
     this_run = F.lit(run_id).alias("run_id")
-    write_partitions(
-        stored(enriched(listings, job, inputs)).select("*", this_run),
-        job.table("listings"),
-        "snapshot",
-        "run_id",
-    )
+    write_listings(stored(enriched(listings, job, inputs)).select("*", this_run), job)
     write_partitions(winners.select("text_key", this_run), job.table("seen_text"), "run_id")
     write_partitions(
         files.select(
@@ -220,12 +228,7 @@ def backfill(spark: SparkSession, job: Job, inputs: Inputs) -> None:
     bare = plain.select(*LISTINGS.fieldNames(), "run_id")
     copies = stored(enriched(bare, job, inputs))
     renamed = F.concat("run_id", F.lit("-enriched")).alias("run_id")
-    write_partitions(
-        copies.select(*(c for c in copies.columns if c != "run_id"), renamed),
-        job.table("listings"),
-        "snapshot",
-        "run_id",
-    )
+    write_listings(copies.withColumn("run_id", renamed), job)
     replaced = current_runs(manifest).filter(~F.col("enriched")).select("run_id")
     write_partitions(
         manifest.join(replaced, "run_id", "left_semi").select(

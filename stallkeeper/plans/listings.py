@@ -10,7 +10,12 @@ from stallkeeper.constants import LISTING_URL_TOKEN, PHRASES_TO_FILTER
 from stallkeeper.functions.fields import fetch_time, location_name, row_id
 from stallkeeper.functions.text import repair_mojibake, text_key
 from stallkeeper.operators.dedup import first_of_each_text, not_seen_before
-from stallkeeper.operators.extract import with_candidates, with_frame_description, with_site_rules
+from stallkeeper.operators.extract import (
+    frame_descriptions,
+    with_candidates,
+    with_frame_description,
+    with_site_rules,
+)
 from stallkeeper.operators.filters import has_page_text, has_title
 from stallkeeper.operators.merge import merge_by_url, merge_page
 from stallkeeper.operators.parse import parse_pages
@@ -62,12 +67,21 @@ def first_pages(
 
 
 def merged_listings(
-    pages: DataFrame, winners: DataFrame, frames: DataFrame | None = None, url_salts: int = 1
+    pages: DataFrame,
+    winners: DataFrame,
+    stage: Stage,
+    frames: DataFrame | None = None,
+    url_salts: int = 1,
 ) -> DataFrame:
-    """Evidence of the pages that stay, merged per page and then per snapshot and URL."""
+    """Evidence of the pages that stay, merged per page and then per snapshot and URL.
+
+    The pages move by page number first and, merged and narrower, by URL afterwards. Moving them by
+    URL alone would save a shuffle, but the pages of a hot URL would meet before they are combined.
+    """
     kept = pages.join(winners.select(ORDER), ORDER, "left_semi")
     if frames is not None:
-        kept = with_frame_description(kept, frames, [ORDER])
+        descriptions = stage(frame_descriptions(kept, frames), "frame_descriptions")
+        kept = with_frame_description(kept, descriptions, [ORDER])
     per_page = merge_page(
         with_candidates(kept), [ORDER, "snapshot", "url", "text", "domain", "retrieved"]
     )
@@ -108,4 +122,4 @@ def build_listings(
         pages = pages.unionByName(pages_of_hits(hits), allowMissingColumns=True)
     pages = stage(pages, "pages")
     winners = stage(first_pages(pages, seen_text, run_id), "winners")
-    return merged_listings(pages, winners, frames, url_salts), winners
+    return merged_listings(pages, winners, stage, frames, url_salts), winners

@@ -524,9 +524,10 @@ def extract_ebay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ebay_description(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = stages_in(scratch(spark))
     pages = stage(parsed_pages(sample_crawl.crawl(spark, sf_dir)), "pages")
+    texts_of_frames = extract.frame_descriptions(pages, sample_crawl.frames(spark, sf_dir))
     described = extract.with_frame_description(
         pages.select("page_order", "frame_src"),
-        sample_crawl.frames(spark, sf_dir),
+        stage(texts_of_frames, "descriptions"),
         ["page_order"],
     )
     return described.select("page_order", "frame_src", "frame_description")

@@ -14,6 +14,10 @@ SETTINGS = {
     # Pages are wide rows: small Arrow batches keep the Python workers' memory flat.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The state of a text feed outgrows memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Recording a Python call site per expression slows the building of large expressions.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -263,5 +263,7 @@ def test_frame_descriptions(spark, broadcast_bytes, monkeypatch):
     frames = spark.createDataFrame(
         [("f1", "<p>A\n eBay</p><p>b</p>"), ("unused", "<p>x</p>")], "url string, html string"
     )
-    found = extract.with_frame_description(pages, frames, ["k"]).select("k", "frame_description").collect()
+    descriptions = extract.frame_descriptions(pages, frames)
+    described = extract.with_frame_description(pages, descriptions, ["k"])
+    found = described.select("k", "frame_description").collect()
     assert sorted((r[0], r[1]) for r in found) == [(1, "A b"), (2, None), (3, "A b"), (4, None)]

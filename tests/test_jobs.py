@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stallkeeper.operators.classify import classify_text, run_task, train_text_classifier, zero_shot
 from stallkeeper.plans import sample_crawl
-from stallkeeper.plans.batch import Inputs, Job, backfill, read_listings, read_manifest, run_all, run_batch
+from stallkeeper.plans.batch import Inputs, Job, backfill, export_csv, read_listings, read_manifest, run_all, run_batch
 from stallkeeper.plans.listings import build_listings
 from stallkeeper.plans.queries import write_archives
 from stallkeeper.plans.stages import stages_in
@@ -104,6 +104,8 @@ def test_temporal_job_keeps_snapshots_apart(spark, tmp_path, archive):
     archive("1", (URL + "1", page("one", "y")), date="2023-01-02")
     run_all(spark, job)
     assert sorted(r["snapshot"] for r in read_listings(spark, job).collect()) == ["2023-01-01", "2023-01-02"]
+    export_csv(spark, job, str(tmp_path / "csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
 
 
 def test_backfill_replaces_plain_runs(spark, tmp_path, archive):

@@ -40,7 +40,7 @@ def test_listings_shuffle_pages_once_to_dedup_and_once_to_merge(spark, sf_dir, t
     stage = stages_in(str(tmp_path))
     pages = stage(parsed_pages(sample_crawl.crawl(spark, sf_dir)), "pages")
     winners = stage(dedup.first_of_each_text(pages.select("text_key", "page_order"), "page_order"), "w")
-    plan = plan_of(merged_listings(pages, winners))
+    plan = plan_of(merged_listings(pages, winners, stage))
     # Both sides of the join on the page number, and the merge.
     assert plan.count("Exchange hashpartitioning") == 3
     assert "partial_min" in plan and "html" not in plan
