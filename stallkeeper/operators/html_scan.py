@@ -1,8 +1,9 @@
-"""One pass over a page's HTML: the only row-level Python of the job.
+"""Reading a page's HTML: the only row-level Python of the job.
 
-The scan finds tags with one compiled expression and keeps a stack of open elements only on pages
-that hold microdata or a seller block. It interprets nothing: prices, offers, images and priorities
-are decided afterwards by column expressions.
+One compiled expression splits a page into text, title, scripts and meta tags inside the regex
+engine. Only pages that hold microdata, a seller block or a description frame are then walked tag
+by tag. Nothing is interpreted here: prices, offers, images and priorities are decided afterwards
+by column expressions.
 """
 
 import html
@@ -10,20 +11,55 @@ import json
 import re
 from urllib.parse import urljoin
 
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<[!?][^>]*>?"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"
-    r"(?P<attrs>(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>?",
-    re.S,
+_ATTRIBUTES = r"""(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""
+
+
+def _block(names, attributes, body):
+    """An element with everything up to its end tag, or to the end of the page without one."""
+    inside = rf"(?:[^<]++|<(?!/(?:{names})[\s/>]))*+"
+    return (
+        rf"<(?:{names})(?=[\s/>]){attributes.format(_ATTRIBUTES)}>?"
+        rf"{body.format(inside)}(?:</(?:{names})[^>]*+>?)?"
+    )
+
+
+_COMMENT = r"<!--(?:[^-]++|-(?!->))*+(?:-->)?|<[!?][^>]*+>?"
+_UNSEEN = _block("style|template", "{}", "{}")
+
+# Splitting by this gives, for every tag, the text before it and these five groups.
+PARTS = re.compile(
+    "|".join(
+        (
+            _COMMENT,
+            _block("title", "{}", "({})"),
+            _block("textarea", "{}", "({})"),
+            _block("script", "({})", "({})"),
+            _UNSEEN,
+            rf"<meta(?=[\s/>])({_ATTRIBUTES})>?",
+            rf"</?[a-z]{_ATTRIBUTES}>?",
+        )
+    ),
+    re.I,
+)
+STRIDE = 1 + PARTS.groups
+
+# The same page tag by tag, for the pages that need their structure.
+TAGS = re.compile(
+    "|".join(
+        (
+            _COMMENT,
+            _block("script", "{}", "{}"),
+            _UNSEEN,
+            _block("title", "{}", "({})"),
+            _block("textarea", "{}", "({})"),
+            rf"<(/?)([a-z][^\s/>]*+)({_ATTRIBUTES})>?",
+        )
+    ),
+    re.I,
 )
 ATTRIBUTE = re.compile(
     r"([^\s=>\"'/][^\s=>/]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S
 )
-RAW_END = {
-    name: re.compile(rf"</{name}[\s/>]", re.I)
-    for name in ("script", "style", "template", "textarea", "title")
-}
 CONTROL = re.compile(r"^\s*(?:<!--|<!\[CDATA\[|//\s*<!\[CDATA\[)|(?:-->|//\s*\]\]>|\]\]>)\s*$")
 
 # Fixed values of the HTML standard: elements without an end tag, and elements that a sibling
@@ -100,14 +136,38 @@ class Element:
 
 
 class TrackedPage:
-    """Nested microdata items and the seller block of one page."""
+    """Nested microdata items, the seller block and the description frame of one page."""
 
-    def __init__(self, base_url, names, has_seller_block):
-        self.base_url, self.names, self.has_seller_block = base_url, names, has_seller_block
+    def __init__(self, base_url, names, source):
+        self.base_url, self.names = base_url, names
+        self.has_seller_block = names["seller"] in source or "ux-labels-values" in source
         self.open, self.capturing, self.items = [], [], []
         self.seller = self.seller_info = self.seller_url = self.location = None
+        self.frame_src = None
         self.seen = set()
 
+    def walk(self, source):
+        at = 0
+        for tag in TAGS.finditer(source):
+            title, textarea, close, name, raw = tag.groups()
+            if self.capturing:
+                self.text(unescaped(source[at : tag.start()]))
+                self.text(unescaped(title or textarea or ""))
+            at = tag.end()
+            if close:
+                self.close(name.lower())
+            elif name:
+                self.start(name.lower(), attributes(raw) if self.matters(raw) else {})
+        if self.capturing:
+            self.text(unescaped(source[at:]))
+        self.close_all()
+
+    def matters(self, raw):
+        """Whether a tag's attributes can say anything here."""
+        if self.has_seller_block:
+            return len(raw) > 1
+        return "item" in raw.lower() or self.names["frame"] in raw
+
     def role_open(self, role):
         return any(e.role == role for e in self.open)
 
@@ -135,6 +195,9 @@ class TrackedPage:
         element = Element(name)
         if attrs:
             self.microdata(element, attrs)
+            if "frame" not in self.seen and attrs.get("id") == self.names["frame"]:
+                self.seen.add("frame")
+                self.frame_src = attrs.get("src")
         if self.has_seller_block:
             self.seller_block(element, attrs)
         if name not in VOID:
@@ -212,68 +275,39 @@ class TrackedPage:
         self.location = text.split(":")[-1].strip()
 
 
+def unescaped(text):
+    return html.unescape(text) if "&" in text else text
+
+
+def visible(parts):
+    """The text nodes of a split page in document order."""
+    return [
+        unescaped(piece)
+        for at in range(0, len(parts), STRIDE)
+        for piece in parts[at : at + 3]
+        if piece
+    ]
+
+
 def scan(source, base_url, names):
     """Everything the extractors need from one page, as a dict with the fields of PARSED."""
-    has_seller_block = names["seller"] in source or "ux-labels-values" in source
-    track = has_seller_block or "itemscope" in source
-    page = TrackedPage(base_url or "", names, has_seller_block)
-    title, titled = None, False
-    text, jsonld, metas, frame_src = [], [], [], None
-    at, end = 0, len(source)
-    while at < end:
-        tag = MARKUP.search(source, at)
-        stop = tag.start() if tag else end
-        if stop > at:
-            data = source[at:stop]
-            if "&" in data:
-                data = html.unescape(data)
-            text.append(data)
-            if track:
-                page.text(data)
-        if not tag:
-            break
-        at = tag.end()
-        name = tag["name"]
-        if name is None:
-            continue
-        name = name.lower()
-        if tag["close"]:
-            if track:
-                page.close(name)
-            continue
-        raw = tag["attrs"]
-        if name in RAW_END:
-            closing = RAW_END[name].search(source, at)
-            body_end = closing.start() if closing else end
-            body = source[at:body_end]
-            if name == "script":
-                kind = attributes(raw).get("type", "").strip().lower()
-                if kind == "application/ld+json":
-                    jsonld.extend(json_objects(body))
-            elif name in ("title", "textarea"):
-                body = html.unescape(body)
-                text.append(body)
-                if track:
-                    page.text(body)
-                if name == "title" and not titled:
-                    title, titled = body or None, True
-            at = source.find(">", body_end) + 1 if closing else end
-            at = at or end
-            continue
-        attrs = attributes(raw) if len(raw) > 1 and (track or name in ("meta", "iframe")) else {}
-        if name == "meta":
-            metas.append({f: attrs.get(f) for f in META_FIELDS})
-        if frame_src is None and names["frame"] in raw:
-            attrs = attrs or attributes(raw)
-            if attrs.get("id") == names["frame"]:
-                frame_src = attrs.get("src")
-        if track:
-            page.start(name, attrs)
-    if track:
-        page.close_all()
+    parts = PARTS.split(source)
+    titles = [t for t in parts[1::STRIDE] if t is not None]
+    jsonld = []
+    for attrs, body in zip(parts[3::STRIDE], parts[4::STRIDE]):
+        if attrs and attributes(attrs).get("type", "").strip().lower() == "application/ld+json":
+            jsonld.extend(json_objects(body))
+    metas = []
+    for attrs in parts[5::STRIDE]:
+        if attrs is not None:
+            found = attributes(attrs)
+            metas.append({f: found.get(f) for f in META_FIELDS})
+    page = TrackedPage(base_url or "", names, source)
+    if page.has_seller_block or "itemscope" in source or names["frame"] in source:
+        page.walk(source)
     return {
-        "title": title,
-        "text": "".join(text),
+        "title": unescaped(titles[0]) or None if titles else None,
+        "text": "".join(visible(parts)),
         "jsonld": jsonld,
         "microdata": [json.dumps(item) for item in page.items],
         "metas": metas,
@@ -281,25 +315,11 @@ def scan(source, base_url, names):
         "seller_info": page.seller_info,
         "seller_url": page.seller_url,
         "location": page.location,
-        "frame_src": frame_src,
+        "frame_src": page.frame_src,
     }
 
 
 def separated_text(source):
     """Visible text with the stripped text nodes on lines of their own."""
-    lines, at, end = [], 0, len(source)
-    while at < end:
-        tag = MARKUP.search(source, at)
-        stop = tag.start() if tag else end
-        lines.append(html.unescape(source[at:stop]).strip())
-        if not tag:
-            break
-        at = tag.end()
-        name = (tag["name"] or "").lower()
-        if name in RAW_END and not tag["close"]:
-            closing = RAW_END[name].search(source, at)
-            body_end = closing.start() if closing else end
-            if name in ("title", "textarea"):
-                lines.append(html.unescape(source[at:body_end]).strip())
-            at = body_end
+    lines = (piece.strip() for piece in visible(PARTS.split(source)))
     return "\n".join(line for line in lines if line)
