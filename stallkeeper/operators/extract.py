@@ -38,9 +38,13 @@ BASE, SELLER_BLOCK, SITE_RULES, MICRODATA, OPEN_GRAPH, DUBLIN_CORE, JSON_LD = ra
 
 def candidate(**values: Column) -> Column:
     """A candidate struct; fields that are not given are NULL."""
-    return F.struct(
-        *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CANDIDATE.fields)
-    )
+
+    def value(f: T.StructField) -> Column:
+        if f.name in values:
+            return values[f.name].alias(f.name)
+        return F.expr(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}")
+
+    return F.struct(*(value(f) for f in CANDIDATE.fields))
 
 
 def base_candidate(title: Column) -> Column:

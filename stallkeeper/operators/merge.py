@@ -7,24 +7,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stallkeeper.schemas import CANDIDATE, MERGED
 
 
-def merge_candidates(candidates: Column) -> Column:
+def merge_candidates(candidates: str) -> Column:
     """One record from a page's ordered candidates; per field the first non-null value stays."""
-    empty = F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in CANDIDATE.fields))
-    return F.aggregate(
-        candidates,
-        empty,
-        lambda kept, c: F.struct(
-            *(
-                F.coalesce(kept[f.name], c["record"][f.name]).alias(f.name)
-                for f in CANDIDATE.fields
-            )
-        ),
+    empty = ", ".join(
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in CANDIDATE.fields
     )
+    kept = ", ".join(
+        f"coalesce(kept.{f.name}, c.record.{f.name}) AS {f.name}" for f in CANDIDATE.fields
+    )
+    return F.expr(f"aggregate({candidates}, struct({empty}), (kept, c) -> struct({kept}))")
 
 
 def merge_page(pages: DataFrame, keep: list[str]) -> DataFrame:
     """One row per page with the merged record, so the shuffle by URL sees each page once."""
-    merged = pages.select(*keep, merge_candidates(F.col("candidates")).alias("_record"))
+    merged = pages.select(*keep, merge_candidates("candidates").alias("_record"))
     return merged.select(*keep, "_record.*", F.lit(None).cast("string").alias("ships to"))
 
 
@@ -36,19 +32,14 @@ def merge_by_url(pages: DataFrame, order: str, salts: int = 1) -> DataFrame:
     combined in that many tasks first and only then brought together.
     """
     keys = ["snapshot", "url"]
-    fields = [f"`{f.name}`" for f in MERGED.fields]
-    known = pages.filter(F.col("url").isNotNull())
+    names = [f.name for f in MERGED.fields]
     firsts = [
-        F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("at"), F.col(c).alias("v"))))
-        for c in fields
+        F.expr(f"min(if(`{n}` IS NULL, NULL, struct({order} AS at, `{n}` AS v)))") for n in names
     ]
-    names = [f.name for f in MERGED.fields]
+    pages = pages.filter(F.col("url").isNotNull())
     if salts > 1:
-        known = (
-            known.groupBy(*keys, F.pmod(F.xxhash64(order), F.lit(salts)).alias("_salt"))
-            .agg(*(first.alias(n) for first, n in zip(firsts, names)))
-            .drop("_salt")
-        )
-        firsts = [F.min(c) for c in fields]
-    merged = known.groupBy(*keys).agg(*(first.alias(n) for first, n in zip(firsts, names)))
-    return merged.select(*keys, *(F.col(f"`{n}`")["v"].alias(n) for n in names))
+        salt = F.pmod(F.xxhash64(order), F.lit(salts)).alias("_salt")
+        pages = pages.groupBy(*keys, salt).agg(*(c.alias(n) for c, n in zip(firsts, names)))
+        firsts = [F.expr(f"min(`{n}`)") for n in names]
+    merged = pages.groupBy(*keys).agg(*(c.alias(n) for c, n in zip(firsts, names)))
+    return merged.select(*keys, *(F.expr(f"`{n}`.v AS `{n}`") for n in names))

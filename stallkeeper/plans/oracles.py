@@ -163,8 +163,9 @@ _VISIBLE = r"""regexp_replace(regexp_replace(html,
 
 
 def _decoded(text: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
+    """The entities the pages hold; at the end of a cut text the semicolon may be missing."""
+    for entity, char in (("&quot", '"'), ("&middot", "·"), ("&copy", "©"), ("&amp", "&")):
+        text = f"regexp_replace({text}, '{entity};?', '{char}', 'g')"
     return text
 
 

@@ -40,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """For work that is heavy per row: a table in fewer pieces than cores is dealt out evenly.
+
+    Large tables come in more pieces than that and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_archives(lines: DataFrame, folder: str, *more_lines: Column) -> None:
     """Crawl lines as compressed JSON lines; ``more_lines`` are written behind each of them."""
     record = F.to_json(F.struct("url", "content", "content_type", "fetch_time"))
@@ -643,15 +652,14 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").join(
-        table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("truth")), "doc_id"
-    )
+    truth = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("truth"))
+    return dealt_out(table(spark, sf_dir, "documents")).join(truth, "doc_id")
 
 
 def classify_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = _labelled(spark, sf_dir)
     model = classify.train_text_classifier(labelled, scratch(spark), label="truth")
-    documents = table(spark, sf_dir, "documents")
+    documents = dealt_out(table(spark, sf_dir, "documents"))
     scored = classify.run_task(
         documents, "text-classification", lambda df: classify.classify_text(df, model)
     )
@@ -720,7 +728,7 @@ def multi_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = search.topics(table(spark, sf_dir, "documents"), "doc_id")
+    found = search.topics(dealt_out(table(spark, sf_dir, "documents")), "doc_id")
     return found.select("doc_id", "topic", F.round("weight", 6).alias("weight"))
 
 

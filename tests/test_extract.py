@@ -173,7 +173,7 @@ def merged(spark, *records):
     rows = [(0, i, tuple(r.get(n) for n in names)) for i, r in enumerate(records)]
     schema = f"c array<struct<src_rank int, src_ord int, record {CANDIDATE.simpleString()}>>"
     df = spark.createDataFrame([(rows,)], schema)
-    return df.select(merge_candidates(F.col("c")).alias("m")).first()["m"].asDict()
+    return df.select(merge_candidates("c").alias("m")).first()["m"].asDict()
 
 
 def test_merge_takes_the_first_value_that_is_not_null(spark):
