@@ -74,7 +74,7 @@ def train_text_classifier(
     path: str,
     text: str = "text",
     label: str = "label",
-    features: int = 1 << 18,
+    features: int = 1 << 16,
 ) -> PipelineModel:
     """Hashed word counts, IDF weights, logistic regression; the model is kept under ``path``.
 
