@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -149,9 +149,17 @@ def export_csv(spark: SparkSession, job: Job, path: str) -> None:
 
 
 def commit_run(
-    spark: SparkSession, job: Job, inputs: Inputs, lines: DataFrame, files: DataFrame, run_id: str
+    spark: SparkSession,
+    job: Job,
+    inputs: Inputs,
+    lines: DataFrame,
+    files: Callable[[], DataFrame],
+    run_id: str,
 ) -> None:
-    """Build and write one run. The manifest comes last: before it, nothing of the run counts."""
+    """Build and write one run. The manifest comes last: before it, nothing of the run counts.
+
+    ``files`` gives the run's ``snapshot, source_file`` rows and is called after the lines are read.
+    """
     work = spark.conf.get("spark.checkpoint.dir", None) or job.table("_stages")
     stage = stages_in(f"{work.rstrip('/')}/{run_id}")
     history = committed_texts(
@@ -176,7 +184,7 @@ def commit_run(
     write_listings(stored(enriched(listings, job, inputs)).select("*", this_run), job)
     write_partitions(winners.select("text_key", this_run), job.table("seen_text"), "run_id")
     write_partitions(
-        files.select(
+        files().select(
             "snapshot", "source_file", F.lit(job.images).alias("enriched"), this_run
         ).coalesce(1),
         job.table("manifest"),
@@ -205,7 +213,7 @@ def run_batch(spark: SparkSession, job: Job, inputs: Inputs = Inputs()) -> str |
         "snapshot string, source_file string, file_no bigint",
     )
     lines = ordered_lines(spark, job, files, [row["path"] for row in chosen])
-    commit_run(spark, job, inputs, lines, files, run_id)
+    commit_run(spark, job, inputs, lines, lambda: files, run_id)
     return run_id
 
 

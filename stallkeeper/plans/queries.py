@@ -482,41 +482,44 @@ def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- extraction -------------------------------------------------------------------------------
 
 
-def _evidence(spark: SparkSession, sf_dir: str, rank: int) -> DataFrame:
-    """The candidates of one kind of evidence on the sample pages."""
+def _evidence(spark: SparkSession, sf_dir: str, records: Column) -> DataFrame:
+    """The candidates one extractor finds on the sample pages."""
     pages = parsed_pages(sample_crawl.crawl(spark, sf_dir))
-    rows = extract.candidate_rows(extract.with_candidates(pages), ["page_order"])
-    return rows.filter(F.col("src_rank") == rank).select(
+    return pages.select("page_order", F.posexplode(records).alias("src_ord", "record")).select(
         "page_order",
         "src_ord",
-        "name",
-        "description",
-        "image",
-        "production_data",
-        "category",
-        F.round("price", 6).alias("price"),
-        "currency",
-        "seller",
-        "seller_type",
-        "seller_url",
-        "location",
+        "record.name",
+        "record.description",
+        "record.image",
+        "record.production_data",
+        "record.category",
+        F.round("record.price", 6).alias("price"),
+        "record.currency",
+        "record.seller",
+        "record.seller_type",
+        "record.seller_url",
+        "record.location",
     )
 
 
+def _one(record: Column) -> Column:
+    return F.filter(F.array(record), lambda r: r.isNotNull())
+
+
 def extract_jsonld(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _evidence(spark, sf_dir, extract.JSON_LD)
+    return _evidence(spark, sf_dir, extract.jsonld_candidates(F.col("jsonld")))
 
 
 def extract_microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _evidence(spark, sf_dir, extract.MICRODATA)
+    return _evidence(spark, sf_dir, extract.microdata_candidates(F.col("microdata")))
 
 
 def extract_opengraph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _evidence(spark, sf_dir, extract.OPEN_GRAPH)
+    return _evidence(spark, sf_dir, _one(extract.open_graph_candidate(F.col("metas"))))
 
 
 def extract_dublincore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _evidence(spark, sf_dir, extract.DUBLIN_CORE)
+    return _evidence(spark, sf_dir, _one(extract.dublin_core_candidate(F.col("metas"))))
 
 
 def extract_ebay(spark: SparkSession, sf_dir: str) -> DataFrame:

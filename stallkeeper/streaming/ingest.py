@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stallkeeper.plans.batch import Inputs, Job, commit_run
@@ -38,11 +38,23 @@ def ingest_stream(
     """
 
     def one_run(lines: DataFrame, epoch: int) -> None:
-        ordered = lines.withColumn(
+        run_id = f"stream-{epoch:010d}"
+        # The files are noted while the lines are read; asking for them would read all lines again.
+        # A trigger takes at most ``files_per_trigger`` of them.
+        seen = Observation(f"files-{run_id}")
+        noted = lines.observe(
+            seen, F.collect_set(F.struct("snapshot", "source_file")).alias("files")
+        )
+        ordered = noted.withColumn(
             ORDER, F.struct("source_file", F.monotonically_increasing_id().alias("row_no"))
         )
-        files = lines.select("snapshot", "source_file").distinct()
-        commit_run(lines.sparkSession, job, inputs, ordered, files, f"stream-{epoch:010d}")
+
+        def files() -> DataFrame:
+            return lines.sparkSession.createDataFrame(
+                [tuple(f) for f in seen.get["files"]], "snapshot string, source_file string"
+            )
+
+        commit_run(lines.sparkSession, job, inputs, ordered, files, run_id)
 
     return (
         archive_stream(spark, job, files_per_trigger)

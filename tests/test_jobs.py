@@ -177,6 +177,28 @@ def test_listings_do_not_depend_on_the_partitioning(spark, sf_dir, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
+def test_index_hits_join_the_crawl(spark, sf_dir, tmp_path):
+    """A hit adds a listing, unless its text was crawled before it."""
+    lines = sample_crawl.crawl(spark, sf_dir)
+    crawled, _ = build_listings(lines, stages_in(str(tmp_path / "crawl")))
+    text = crawled.orderBy("url").first()["text"]
+    hits = spark.createDataFrame(
+        [
+            ("hits", 10**9, "https://b.com/itm/1", "T", "new text", "b.com", "2024-01-01T00:00:00.000+0000"),
+            ("hits", 10**9 + 1, "https://b.com/itm/2", "T", text, "b.com", None),
+            ("hits", 10**9 + 2, "https://b.com/itm/3", "T", "Result not found", "b.com", None),
+        ],
+        "snapshot string, page_order bigint, url string, title string, text string, domain string, retrieved string",
+    )
+    both, _ = build_listings(
+        lines, stages_in(str(tmp_path / "both")), rules=sample_crawl.rules(spark), hits=hits
+    )
+    assert both.count() == crawled.count() + 1
+    hit = both.filter("snapshot = 'hits'").first()
+    assert (hit["url"], hit["title"], hit["price"]) == ("https://b.com/itm/1", "T", None)
+    assert hit["retrieved_ts"].year == 2024
+
+
 def test_a_url_with_a_third_of_all_pages(spark, tmp_path):
     import base64
 
