@@ -165,7 +165,12 @@ def commit_run(
     history = committed_texts(
         read_or_empty(spark, job.table("seen_text"), SEEN_TEXT), read_manifest(spark, job)
     )
-    counted, counters = observed(lines, has_content(F.col("content")), f"run-{run_id}")
+    counted, counters = observed(
+        lines,
+        has_content(F.col("content")),
+        f"run-{run_id}",
+        malformed=F.col("_corrupt").isNotNull(),
+    )
     listings, winners = build_listings(
         counted,
         stage,

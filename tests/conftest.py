@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path[:0] = [HERE, os.path.dirname(HERE)]
@@ -31,7 +32,7 @@ def one_value(spark):
     """Evaluates an expression for one input value given as a column ``v``."""
 
     def evaluate(expression, value, dtype="string"):
-        df = spark.createDataFrame([(value,)], f"v {dtype}")
+        df = spark.range(1, numPartitions=1).select(F.lit(value).cast(dtype).alias("v"))
         return df.select(expression.alias("r")).first()[0]
 
     return evaluate

@@ -15,7 +15,8 @@ from stallkeeper.schemas import CANDIDATE
 @pytest.fixture
 def candidates(spark):
     def of(extractor, *values):
-        df = spark.createDataFrame([([json.dumps(v) for v in values],)], "v array<string>")
+        texts = F.array(*(F.lit(json.dumps(v)) for v in values))
+        df = spark.range(1, numPartitions=1).select(texts.alias("v"))
         return df.select(F.inline(extractor(F.col("v")))).collect()
 
     return of

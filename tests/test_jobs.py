@@ -65,6 +65,24 @@ def test_nothing_to_do_without_archives(spark, tmp_path):
     assert run_all(spark, job_in(tmp_path)) == []
 
 
+@pytest.mark.parametrize("spread", [None, 2])
+def test_an_empty_archive_is_done_once(spark, tmp_path, archive, spread):
+    job = job_in(tmp_path, spread=spread)
+    archive("1")
+    rules = sample_crawl.rules(spark)
+    assert len(run_all(spark, job, Inputs(rules=rules))) == 1
+    assert read_listings(spark, job).count() == 0 and read_manifest(spark, job).count() == 1
+
+
+def test_an_empty_archive_in_a_stream(spark, tmp_path, archive):
+    job = job_in(tmp_path)
+    archive("1")
+    ingest_stream(spark, job).awaitTermination()
+    archive("2", (URL + "1", page("one", "x")))
+    ingest_stream(spark, job).awaitTermination()
+    assert titles(spark, job) == ["one"]
+
+
 def test_files_per_run_leaves_the_rest_for_the_next_run(spark, tmp_path, archive):
     job = job_in(tmp_path, files_per_run=1)
     for i in range(3):

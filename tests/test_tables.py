@@ -120,9 +120,9 @@ def test_image_path_only_for_fetched_images(spark):
 
 
 def test_counters_ride_along(spark, folder):
-    df, seen = counters.observed(spark.range(10), F.col("id") > 6)
+    df, seen = counters.observed(spark.range(10), F.col("id") > 6, even=F.col("id") % 2 == 0)
     df.write.parquet(f"{folder}/x")
-    assert seen.get == {"received": 10, "kept": 3}
+    assert seen.get == {"received": 10, "kept": 3, "even": 5}
 
 
 # --- archives ---------------------------------------------------------------------------------
