@@ -46,7 +46,7 @@ def is_filled(value: Column) -> Column:
     """False for null, empty text, zero, false, and empty objects and lists."""
     text = F.try_variant_get(value, "$", "string")
     blank = F.when(kind(value) == "STRING", text == "").otherwise(
-        text.isin("", "0", "0.0", "false", "{}", "[]")
+        text.rlike(r"\A(?:0|0\.0|false|\{\}|\[\])?\z")
     )
     return ~F.coalesce(blank, F.lit(True))
 
