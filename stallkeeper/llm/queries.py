@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stallkeeper.llm.common import table
+from stallkeeper.llm.bpe import bpe_encode
+from stallkeeper.llm.common import remainder, table
 from stallkeeper.llm.exact_topk import top_k
+from stallkeeper.llm.language import fit_language, predict_language
 from stallkeeper.llm.main_text import extract_main_text
+from stallkeeper.llm.quality import fit_quality, score_quality
+from stallkeeper.llm.token_count import count_tokens
+from stallkeeper.llm.toxicity import fit_toxicity, score_toxicity
 from stallkeeper.llm.url_model import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,25 +27,101 @@ URL_RULES = {
     "com/de/": "block",
 }
 
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
+# Folds by the crc32 of the id: labels of fold 0 are held out, languages of fold 2.
+FOLDS = 5
+LANGUAGE_FOLDS = 4
+QUALITY_LEAST = 0.3
+TOXICITY_LEAST = 0.5
+
+
+def tokenizer_spec(name: str = TOKENIZER) -> str:
+    """The content of a public tokenizer file, read on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return extract_main_text(pages, keys=("page_id", "url"))
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """``id, text, label`` of the documents whose labels may be learnt."""
+    rows = docs.select("doc_id", "text").join(labels.select("doc_id", label), "doc_id")
+    rows = rows.where(remainder("doc_id", FOLDS) != 0)
+    return rows.select(F.col("doc_id").alias("id"), "text", F.col(label).alias("label"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_quality(labelled(docs, labels, "quality"))
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", FOLDS) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"),
+    )
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_toxicity(labelled(docs, labels, "toxic"), docs)
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", FOLDS) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXICITY_LEAST).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = remainder("doc_id", LANGUAGE_FOLDS)
+    network = fit_language(docs.where(fold != 2).withColumnRenamed("doc_id", "id"))
+    predicted = predict_language(docs.select("doc_id", "text"), network)
+    return predicted.select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     asked = vectors.where(F.col("vec_id") % 100 == 0)
     return top_k(asked, vectors, "vec_id", "embedding", k=10)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(table(spark, sf_dir, "documents"), tokenizer_spec())
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_encode(table(spark, sf_dir, "documents"), tokenizer_spec())
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
+    "op3_quality": op3_quality,
     "op4_url_filter": op4_url_filter,
+    "op5_toxicity": op5_toxicity,
+    "op7_language": op7_language,
     "op8_exact_topk": op8_exact_topk,
+    "op9_token_counts": op9_token_counts,
+    "op10_bpe": op10_bpe,
 }
