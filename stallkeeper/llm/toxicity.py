@@ -36,7 +36,6 @@ CALIBRATION_PARTS = 4
 MAX_LABELLED = 100_000
 MAX_TERMS = 4096
 LEAST_TEXTS = 3
-LEAST_RATIO = 15.0  # log-likelihood ratio; chance exceeds it once in 10,000 terms
 
 _WORD = re.compile(r"\w+")
 
@@ -127,8 +126,16 @@ class ToxicityModel:
 
 
 def known_terms(text: str | None, number: dict[str, int]) -> tuple[tuple[int, int], ...]:
+    """Numbers and occurrences of the vocabulary's terms, and of the last term, the words at all.
+
+    That one is rounded to a power of two; it makes a toxic word weigh less in a longer text.
+    """
     found = terms_of(text)
-    return tuple(sorted((number[t], n) for t, n in found.items() if t in number))
+    known = sorted((number[t], n) for t, n in found.items() if t in number)
+    if not known:
+        return ()
+    words = sum(n for t, n in found.items() if t[-1] != "*")
+    return (*known, (len(number), 1 << round(math.log2(words))))
 
 
 def unit_vector(counts, idf) -> tuple[tuple[int, ...], tuple[float, ...]]:
@@ -160,6 +167,7 @@ def _vocabulary(labelled: DataFrame) -> list[str]:
 
     counted = map_batches(labelled, count, "term string, n long, m long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    counted = new_stage(labelled.sparkSession)(counted, "terms")
     total, positive = labelled.agg(
         F.count("*"), F.coalesce(F.sum(F.col("label").cast("long")), F.lit(0))
     ).first()
@@ -178,7 +186,9 @@ def _vocabulary(labelled: DataFrame) -> list[str]:
         + part(total - positive - n + m, total - n, total - positive)
     )
     strong = counted.where(m >= LEAST_TEXTS).where(m * total > n * positive)
-    strong = strong.withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
+    # The ratio that chance exceeds for about one of all the terms.
+    least = 2 * math.log(max(counted.count(), 2))
+    strong = strong.withColumn("ratio", ratio).where(F.col("ratio") >= least)
     return [r["term"] for r in strong.orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect()]
 
 
@@ -207,7 +217,7 @@ def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> To
         for batch in batches:
             for t in values(batch, "text"):
                 n += 1
-                for i, _ in known_terms(t, number):
+                for i, _ in known_terms(t, number)[:-1]:
                     found[i] += 1
         yield {"i": [-1, *range(len(number))], "n": [n, *found.tolist()]}
 
@@ -215,6 +225,7 @@ def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> To
     found = dict(counted.groupBy("i").agg(F.sum("n")).collect())
     total = found.get(-1, 0)
     idf = [math.log((1 + total) / (1 + found.get(i, 0))) + 1 for i in range(len(terms))]
+    idf.append(1.0)  # every text has words
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -243,7 +254,7 @@ def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> To
     model = ToxicityModel(
         number,
         idf,
-        ExampleIndex(units, len(terms)),
+        ExampleIndex(units, len(idf)),
         [r["id"] for r in examples],
         [r["n"] for r in examples],
         [r["m"] for r in examples],
