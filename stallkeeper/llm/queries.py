@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stallkeeper.llm.bpe import bpe_encode
 from stallkeeper.llm.common import remainder, table
+from stallkeeper.llm.decontaminate import find_contamination
 from stallkeeper.llm.exact_topk import top_k
 from stallkeeper.llm.language import fit_language, predict_language
 from stallkeeper.llm.main_text import extract_main_text
@@ -86,6 +87,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = remainder("doc_id", LANGUAGE_FOLDS)
@@ -120,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality": op3_quality,
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
     "op8_exact_topk": op8_exact_topk,
     "op9_token_counts": op9_token_counts,
