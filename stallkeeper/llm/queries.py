@@ -12,6 +12,7 @@ from stallkeeper.llm.decontaminate import find_contamination
 from stallkeeper.llm.exact_topk import top_k
 from stallkeeper.llm.language import fit_language, predict_language
 from stallkeeper.llm.main_text import extract_main_text
+from stallkeeper.llm.near_duplicates import near_duplicates
 from stallkeeper.llm.quality import fit_quality, score_quality
 from stallkeeper.llm.token_count import count_tokens
 from stallkeeper.llm.toxicity import fit_toxicity, score_toxicity
@@ -50,6 +51,10 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages, keys=("page_id", "url"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """``id, text, label`` of the documents whose labels may be learnt."""
     rows = docs.select("doc_id", "text").join(labels.select("doc_id", label), "doc_id")
@@ -122,6 +127,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_quality": op3_quality,
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
