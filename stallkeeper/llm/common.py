@@ -10,8 +10,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from stallkeeper.plans.stages import scratch, stages_in
 
-# Rows per Arrow batch: texts are wide, so a batch of long ones must still fit in memory.
+# Rows and bytes of an Arrow batch: a batch of very long texts must still fit in memory.
 BATCH_ROWS = 512
+BATCH_BYTES = 32 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +36,10 @@ def map_batches(
     schema: T.StructType | str,
 ) -> DataFrame:
     """``mapInArrow`` for functions that yield column dictionaries, in small batches."""
-    spark = rows.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    settings = rows.sparkSession.conf
+    if int(settings.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        settings.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    settings.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     target = to_arrow_schema(schema)

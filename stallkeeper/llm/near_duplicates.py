@@ -10,17 +10,19 @@ slot keeps the shingle that arrives first. A process ends early, when its next a
 the latest first arrival of all slots. Slots of two texts are equal with a probability that is their
 probability Jaccard similarity.
 
-*Candidates*: ``BANDS`` bands of ``SLOTS / BANDS`` slots. A pair at the threshold agrees in 41 of
-the 64 bands on average and in fewer than ``LEAST_BANDS`` about once in 100,000 pairs. Two texts
-that agree in so many bands agree in one of the ``BANDS - LEAST_BANDS + 1`` rarest bands of either
-(prefix filtering by frequency), so only these are buckets. Texts that share no more than common
-passages, lines or words drop out, however many they are.
+*Candidates*: bands of two slots. A pair at the threshold agrees in 41 of the 64 bands on average,
+and in fewer than 24 about once in 100,000 pairs. Two texts that agree in so many bands agree in
+one of the 41 rarest bands of either (prefix filtering by frequency), so only these are buckets.
+Texts that share no more than common passages, lines or words drop out, however many they are.
 
 *Pairs*: equal texts are one text first. A bucket links its members to its most central one (whose
 bands are the most frequent), which is a pair per member; members that are verified to be in one
-class need no further comparison. ``STARS`` such rounds are followed by all pairs of the remaining
-members of a bucket that are in different classes, so every pair of a bucket is compared or
-already in one class, without any cap.
+class need no further comparison. After some such rounds, the members of buckets that still hold
+several classes are sketched anew with eight times the slots, which leaves only texts with a similarity very
+near the threshold in buckets. Of these, all sketches in different classes are compared: buckets
+that share members form a group, a group is cut into blocks of about ``BLOCK`` members, and each two
+blocks of a group meet in a task, which passes on only the pairs whose sketches agree. So every pair
+of a bucket is compared or already in one class, without any cap.
 
 *Verification* compares the sketches, then the whole texts exactly.
 """
@@ -30,6 +32,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +44,34 @@ from stallkeeper.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SLOTS = 128
-BANDS = 64
-LEAST_BANDS = 24
-STARS = 3
-# Sketches of a pair at the threshold agree in fewer slots about once in a million pairs.
-LEAST_SLOTS = 82
+PER_BAND = 2
+
+
+@dataclass(frozen=True)
+class Level:
+    """Fineness of a sketch, and the rounds of comparison with hubs on its buckets."""
+
+    slots: int
+    stars: int
+
+    @property
+    def bands(self) -> int:
+        return self.slots // PER_BAND
+
+    @property
+    def least_bands(self) -> int:
+        """Fewer bands agree about once in 100,000 pairs at the threshold."""
+        p = SIMILARITY**PER_BAND
+        return math.floor(self.bands * p - 4.4 * math.sqrt(self.bands * p * (1 - p)))
+
+    @property
+    def least_slots(self) -> int:
+        p = SIMILARITY
+        return math.floor(self.slots * p - 4.5 * math.sqrt(self.slots * p * (1 - p)))
+
+
+LEVELS = (Level(128, 2), Level(1024, 1))
+BLOCK = 128
 
 _WORD = re.compile(r"\w+")
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -86,26 +111,26 @@ def shingles(words: list[str], known: dict[str, int]) -> tuple[np.ndarray, np.nd
     return found, 1 + np.log(counts)
 
 
-def sketches(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def sketches(sets: list[tuple[np.ndarray, np.ndarray]], slots: int) -> np.ndarray:
     """The shingle that arrives first in each slot of each text, folded to 32 bits."""
     hashes = np.concatenate([h for h, _ in sets])
     weights = np.concatenate([w for _, w in sets])
     owner = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])
-    first = np.full(len(sets) * SLOTS, np.inf)
-    winner = np.zeros(len(sets) * SLOTS, np.uint64)
+    first = np.full(len(sets) * slots, np.inf)
+    winner = np.zeros(len(sets) * slots, np.uint64)
     time, number = np.zeros(len(hashes)), 0
     while len(hashes):
         number += 1
         draw = _mixed(hashes + np.uint64(number * _GOLDEN % 2**64))
         time = time - np.log(((draw >> np.uint64(11)) + 0.5) * 2.0**-53) / weights
-        slot = owner * SLOTS + (_mixed(draw ^ _STEP) % np.uint64(SLOTS)).astype(np.int64)
+        slot = owner * slots + (_mixed(draw ^ _STEP) % np.uint64(slots)).astype(np.int64)
         np.minimum.at(first, slot, time)
         won = first[slot] == time
         winner[slot[won]] = hashes[won]
-        latest = first.reshape(-1, SLOTS).max(1)
+        latest = first.reshape(-1, slots).max(1)
         going = time < latest[owner]
         hashes, weights, owner, time = (x[going] for x in (hashes, weights, owner, time))
-    return (winner >> np.uint64(32)).astype("<u4").reshape(-1, SLOTS)
+    return (winner >> np.uint64(32)).astype("<u4").reshape(-1, slots)
 
 
 def probability_jaccard(a, b) -> float:
@@ -121,7 +146,7 @@ def probability_jaccard(a, b) -> float:
     return float((x / below[which]).sum())
 
 
-def _sketched(rows: DataFrame) -> DataFrame:
+def _sketched(rows: DataFrame, slots: int) -> DataFrame:
     """``k, node, sketch``: the fingerprint of the words and the sketch; null without a word."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -134,36 +159,39 @@ def _sketched(rows: DataFrame) -> DataFrame:
             distinct = {n: w for n, w in zip(nodes, cut) if n}
             found = {}
             if distinct:
-                made = sketches([shingles(w, known) for w in distinct.values()])
+                made = sketches([shingles(w, known) for w in distinct.values()], slots)
                 found = {n: s.tobytes() for n, s in zip(distinct, made)}
             yield {"k": batch.column(0), "node": nodes, "sketch": [found.get(n) for n in nodes]}
 
     return map_batches(rows, run, f"k {rows.schema[0].dataType.simpleString()}, node binary, sketch binary")
 
 
-def _buckets(nodes: DataFrame, stage) -> DataFrame:
+def _buckets(nodes: DataFrame, level: Level) -> DataFrame:
     """``band, node, central``: the rare bands of every node that can have a partner."""
-    width = 4 * SLOTS // BANDS
-    places = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    width = 4 * PER_BAND
+    places = F.sequence(F.lit(0), F.lit(level.bands - 1))
     bands = F.transform(
         places, lambda i: F.xxhash64(i, F.substring("sketch", i * width + 1, F.lit(width)))
     )
     all_bands = nodes.select("node", F.explode(bands).alias("band"))
     shared = all_bands.groupBy("band").count().where("count > 1")
     shared = all_bands.join(shared, "band")
-    # At most BANDS rows per node.
+    # At most as many rows per node as there are bands.
     own = shared.groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("count", "band"))).alias("found"),
         F.sum("count").alias("central"),
     )
-    alone = F.lit(BANDS) - F.size("found")  # bands of no other text, the rarest of all
-    own = own.where(F.size("found") >= LEAST_BANDS)
-    rare = F.slice("found", F.lit(1), F.greatest(F.lit(BANDS - LEAST_BANDS + 1) - alone, F.lit(0)))
+    alone = F.lit(level.bands) - F.size("found")  # bands of no other text, the rarest of all
+    own = own.where(F.size("found") >= level.least_bands)
+    prefix = F.lit(level.bands - level.least_bands + 1)
+    rare = F.slice("found", F.lit(1), F.greatest(prefix - alone, F.lit(0)))
     found = own.select("node", "central", F.explode(rare).alias("x"))
-    return stage(found.select(F.col("x.band").alias("band"), "node", "central"), "buckets")
+    return found.select(F.col("x.band").alias("band"), "node", "central")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, stage, name: str) -> DataFrame:
+def _verified(
+    pairs: DataFrame, nodes: DataFrame, level: Level, docs: DataFrame, stage, name: str
+) -> DataFrame:
     """The pairs ``a, b`` whose exact similarity reaches the threshold."""
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for side in "ab":
@@ -173,10 +201,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, stage, name:
     def alike(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             x, y = (
-                np.frombuffer(b"".join(values(batch, f"sketch_{s}")), "<u4").reshape(-1, SLOTS)
+                np.frombuffer(b"".join(values(batch, f"sketch_{s}")), "<u4").reshape(-1, level.slots)
                 for s in "ab"
             )
-            likely = np.flatnonzero((x == y).sum(1) >= LEAST_SLOTS)
+            likely = np.flatnonzero((x == y).sum(1) >= level.least_slots)
             yield {s: batch.column(batch.schema.get_field_index(s)).take(likely) for s in "ab"}
 
     pairs = stage(map_batches(pairs, alike, "a binary, b binary"), f"{name}_likely")
@@ -216,6 +244,45 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, stage, name:
     return stage(map_batches(pairs, exact, "a binary, b binary"), f"{name}_links").distinct()
 
 
+def _alike_in_blocks(left: DataFrame, nodes: DataFrame, level: Level, stage) -> DataFrame:
+    """``node, b``: pairs of members of one group, in different classes, with agreeing sketches."""
+    # Members of a bucket hang on its least member; these links join buckets to groups.
+    least = left.groupBy("band").agg(F.min("node").alias("b"))
+    hung = left.join(least, "band").select(F.col("node").alias("a"), "b")
+    groups = components(hung, stage, "groups").withColumnRenamed("component", "group")
+    members = left.select("node", "component").distinct().join(groups, "node")
+    size = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    members = members.join(size, "group").withColumn("block", block)
+    members = members.join(nodes.select("node", "sketch"), "node")
+    # About BLOCK rows per list, by the hash of the node.
+    row = F.struct("node", "component", "sketch")
+    blocks = members.groupBy("group", "block").agg(F.collect_list(row).alias("rows"))
+    blocks = stage(blocks, "blocks")
+    first = blocks.select("group", F.col("block").alias("i"), F.col("rows").alias("x"))
+    ids = blocks.select("group", F.col("block").alias("j"))
+    met = first.select("group", "i").join(ids, "group").where("i <= j").repartition("group", "i", "j")
+    second = blocks.select("group", F.col("block").alias("j"), F.col("rows").alias("y"))
+    met = met.join(first, ["group", "i"]).join(second, ["group", "j"]).select("x", "y")
+
+    def alike(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for x, y in zip(values(batch, "x"), values(batch, "y")):
+                sketches_y = np.frombuffer(b"".join(r["sketch"] for r in y), "<u4")
+                sketches_y = sketches_y.reshape(-1, level.slots)
+                out = {"node": [], "b": []}
+                for r in x:
+                    own = np.frombuffer(r["sketch"], "<u4")
+                    agree = (sketches_y == own).sum(1) >= level.least_slots
+                    for o in (y[i] for i in np.flatnonzero(agree)):
+                        if o["component"] != r["component"]:
+                            out["node"].append(r["node"])
+                            out["b"].append(o["node"])
+                yield out
+
+    return map_batches(met, alike, "node binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``class_id`` of every row: the least key of the texts it is a near-duplicate of.
 
@@ -225,37 +292,53 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     stage = new_stage(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
-    sketched = stage(_sketched(rows), "sketched")
+    sketched = stage(_sketched(rows, LEVELS[0].slots), "sketched")
     known = sketched.where("node is not null")
     nodes = known.groupBy("node").agg(F.min("k").alias("k"), F.first("sketch").alias("sketch"))
     nodes = stage(nodes, "nodes")
-    left = _buckets(nodes, stage)  # members not yet compared with their whole bucket
     links, classes = None, None
-    for number in range(STARS + 1):
-        if classes is not None:
-            left = left.drop("component").join(classes, "node", "left")
+
+    def several(members: DataFrame, name: str) -> DataFrame:
+        """The members of buckets that hold more than one class, with their classes."""
+        if classes is None:
+            members = members.withColumn("component", F.col("node"))
         else:
-            left = left.withColumn("component", F.lit(None).cast("binary"))
-        left = left.withColumn("component", F.coalesce("component", "node"))
-        several = left.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        left = stage(left.join(several.where("x <> y").select("band"), "band", "left_semi"), f"left_{number}")
-        if left.isEmpty():
-            break
-        if number < STARS:
+            members = members.drop("component").join(classes, "node", "left")
+            members = members.withColumn("component", F.coalesce("component", "node"))
+        ends = (F.min("component").alias("x"), F.max("component").alias("y"))
+        mixed = members.groupBy("band").agg(*ends).where("x <> y").select("band")
+        return stage(members.join(mixed, "band", "left_semi"), name)
+
+    def compare(pairs: DataFrame, name: str) -> None:
+        nonlocal links, classes
+        found = _verified(pairs.select(F.col("node").alias("a"), "b"), nodes, level, rows, stage, name)
+        links = found if links is None else links.unionAll(found)
+        classes = components(links, stage, f"{name}_classes")
+
+    for depth, level in enumerate(LEVELS):
+        last = depth == len(LEVELS) - 1
+        if depth:
+            # The whole texts of the members that are left, sketched anew.
+            asked = nodes.join(left.select("node").distinct(), "node", "left_semi")
+            texts = asked.select("node", "k").join(rows, "k").select("k", "text")
+            anew = _sketched(texts, level.slots).join(asked.select("k", "node"), ["k", "node"])
+            nodes = stage(anew, f"nodes_{depth}")
+        left = several(stage(_buckets(nodes, level), f"buckets_{depth}"), f"left_{depth}")
+        for number in range(level.stars):
+            if left.isEmpty():
+                break
             # The hub of each bucket, as one row per bucket.
             hub = F.max(F.struct("central", "node", "component")).alias("hub")
-            hubs = stage(left.groupBy("band").agg(hub).select("band", "hub.node", "hub.component"), f"hubs_{number}")
-            hubs = hubs.withColumnsRenamed({"node": "b", "component": "other"})
-            met = left.join(hubs, "band")
-            pairs = met.where("node <> b and component <> other").select(F.col("node").alias("a"), "b")
-            left = met.where("node <> b").drop("b", "other")
-        else:
-            other = left.select("band", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = left.join(other, "band").where("node < b and component <> other")
-            pairs = pairs.select(F.col("node").alias("a"), "b")
-        found = _verified(pairs, nodes, rows, stage, f"round_{number}")
-        links = found if links is None else links.unionAll(found)
-        classes = components(links, stage, f"classes_{number}")
+            hubs = left.groupBy("band").agg(hub).select(
+                "band", F.col("hub.node").alias("b"), F.col("hub.component").alias("other")
+            )
+            met = left.join(stage(hubs, f"hubs_{depth}_{number}"), "band").where("node <> b")
+            compare(met.where("component <> other"), f"star_{depth}_{number}")
+            left = several(met.drop("b", "other"), f"left_{depth}_{number}")
+        if left.isEmpty():
+            break
+        if last:
+            compare(_alike_in_blocks(left, nodes, level, stage), "rest")
     whole = known.select("k", "node")
     if classes is not None:
         whole = whole.join(classes, "node", "left")
