@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -30,6 +31,13 @@ def remainder(key: str | Column, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit(""))), F.lit(parts))
 
 
+def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """All rows if there are at most ``limit``, else about so many, by the hash of ``key``."""
+    share = min(1.0, limit / max(rows.count(), 1))
+    million = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1_000_000))
+    return rows.where(million < F.lit(math.ceil(1_000_000 * share)))
+
+
 def map_batches(
     rows: DataFrame,
     function: Callable[[Iterable[pa.RecordBatch]], Iterator[dict]],

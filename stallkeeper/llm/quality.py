@@ -138,7 +138,8 @@ def _summed(parts: DataFrame, names: list[str]) -> dict[tuple, np.ndarray]:
 def fit_quality(labelled: DataFrame) -> QualityModel:
     """Fit on ``id, text, label`` rows (label 0 or 1); rows with a null label do not count.
 
-    Texts may be null or empty, rows may repeat. Without any row, every score is one half.
+    Texts may be null or empty, rows may repeat. Without any row, every score is one half. Only
+    statistics are written, so a caller may bound the labelled rows or not.
     """
     stage = new_stage(labelled.sparkSession)
     narrow = labelled.where("label is not null").select(
@@ -236,5 +237,5 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", scor
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             yield columns | {score: model.score(x) if len(x) else []}
 
-    schema = T.StructType(rows.schema.fields + T.StructType.fromDDL(f"{score} double").fields)
+    schema = T.StructType(rows.schema.fields + T.StructType.fromDDL(f"`{score}` double").fields)
     return map_batches(rows, run, schema)

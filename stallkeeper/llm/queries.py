@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stallkeeper.llm.bpe import bpe_encode
-from stallkeeper.llm.common import remainder, table
+from stallkeeper.llm.common import bounded_sample, remainder, table
 from stallkeeper.llm.decontaminate import find_contamination
 from stallkeeper.llm.exact_topk import top_k
 from stallkeeper.llm.language import fit_language, predict_language
@@ -15,7 +15,7 @@ from stallkeeper.llm.main_text import extract_main_text
 from stallkeeper.llm.near_duplicates import near_duplicates
 from stallkeeper.llm.quality import fit_quality, score_quality
 from stallkeeper.llm.token_count import count_tokens
-from stallkeeper.llm.toxicity import fit_toxicity, score_toxicity
+from stallkeeper.llm.toxicity import MAX_LABELLED, fit_toxicity, score_toxicity
 from stallkeeper.llm.url_model import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +56,14 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``id, text, label`` of the documents whose labels may be learnt."""
-    rows = docs.select("doc_id", "text").join(labels.select("doc_id", label), "doc_id")
-    rows = rows.where(remainder("doc_id", FOLDS) != 0)
+    """``id, text, label`` of the documents whose labels may be learnt.
+
+    The labels are a sample of at most about ``MAX_LABELLED`` rows of two numbers, so they are
+    broadcast and the texts stay where they are.
+    """
+    rows = labels.where(F.col(label).isNotNull() & (remainder("doc_id", FOLDS) != 0))
+    rows = bounded_sample(rows.select("doc_id", label), "doc_id", MAX_LABELLED)
+    rows = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
     return rows.select(F.col("doc_id").alias("id"), "text", F.col(label).alias("label"))
 
 

@@ -32,7 +32,7 @@ BLOCK = 64
 PREFIXES = (4, 5)
 SHARE_STEPS = 200
 CALIBRATION_PARTS = 4
-# Bounds of the fit: labelled texts (taken by the hash of their id) and terms of the vocabulary.
+# Bounds of the fit: labelled texts that callers give (``bounded_sample``), terms of the vocabulary.
 MAX_LABELLED = 100_000
 MAX_TERMS = 4096
 LEAST_TEXTS = 3
@@ -195,20 +195,15 @@ def _vocabulary(labelled: DataFrame) -> list[str]:
 def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> ToxicityModel:
     """Fit on ``id, text, label`` rows (label 0 or 1), with document frequencies over ``docs``.
 
-    Null labels do not count; texts may be null or empty, rows may repeat. If more than
-    ``MAX_LABELLED`` rows are labelled, about that many are taken by the hash of their id. Without
-    examples of both kinds there is no vocabulary and every text has the share 0.
+    Null labels do not count; texts may be null or empty, rows may repeat. The labelled rows are a
+    bounded number, see ``MAX_LABELLED``. Without examples of both kinds there is no vocabulary and
+    every text has the share 0.
     """
-    stage = new_stage(docs.sparkSession)
     rows = labelled.where("label is not null").select(
         F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"),
         "text",
         F.col("label").cast("boolean").alias("label"),
     )
-    # Below the bound the fraction is 1 and no row is left out.
-    fraction = min(1.0, MAX_LABELLED / max(rows.count(), 1))
-    million = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    rows = stage(rows.where(million < F.lit(math.ceil(1_000_000 * fraction))), "labelled")
     terms = _vocabulary(rows)
     number = {t: i for i, t in enumerate(terms)}
 
@@ -272,14 +267,20 @@ def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> To
     return model
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+def score_toxicity(
+    docs: DataFrame,
+    model: ToxicityModel,
+    text: str = "text",
+    score: str = "score",
+    evidence: str = "evidence",
+) -> DataFrame:
     """All columns of ``docs``, ``score`` from 0 to 1 and ``evidence``, its nearest examples.
 
     Evidence holds id, similarity and toxic share of up to three examples. Null and empty texts
     have none. Columns named like the new ones are replaced. The model is broadcast; its size is
     bounded by ``MAX_LABELLED`` and ``MAX_TERMS``.
     """
-    rows = docs.drop("score", "evidence")
+    rows = docs.drop(score, evidence)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -290,8 +291,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
                 seen.clear()
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             yield columns | {
-                "score": [known.steps[_share_step(s)] for s, _ in judged],
-                "evidence": [
+                score: [known.steps[_share_step(s)] for s, _ in judged],
+                evidence: [
                     [
                         {"id": known.names[e], "similarity": s, "toxic": known.toxic[e] / known.texts[e]}
                         for s, e in near[:3]
@@ -300,6 +301,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
                 ],
             }
 
-    added = "score double, evidence array<struct<id:string,similarity:double,toxic:double>>"
+    added = f"`{score}` double, `{evidence}` array<struct<id:string,similarity:double,toxic:double>>"
     schema = T.StructType(rows.schema.fields + T.StructType.fromDDL(added).fields)
     return map_batches(rows, run, schema)
