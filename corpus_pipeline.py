@@ -1,12 +1,86 @@
-"""Documents to training data."""
+"""Documents to training data: five stages, each over all documents that the one before has kept.
+
+Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes each result as
+Parquet below the cluster's shared folder and reads it again as the next stage's documents. All
+stages but the last return the columns of documents. SQL cannot state the stages (random features,
+nearest neighbours, sketches), so there is none; tests compare with brute force.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stallkeeper.llm.bpe import bpe_encode
+from stallkeeper.llm.common import new_stage, table
+from stallkeeper.llm.decontaminate import find_contamination
+from stallkeeper.llm.near_duplicates import near_duplicates
+from stallkeeper.llm.quality import fit_quality, score_quality
+from stallkeeper.llm.queries import QUALITY_LEAST, TOXICITY_LEAST, labelled, tokenizer_spec
+from stallkeeper.llm.toxicity import fit_toxicity, score_toxicity
 
 ORACLE_SQL = None
-STAGES = []
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the quality classifier rejects."""
+    model = fit_quality(labelled(docs, table(spark, sf_dir, "labels"), "quality"))
+    scored = score_quality(docs, model, score="_score")
+    return scored.where(F.col("_score") >= QUALITY_LEAST).select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that are more likely toxic than not."""
+    model = fit_toxicity(labelled(docs, table(spark, sf_dir, "labels"), "toxic"), docs)
+    scored = score_toxicity(docs, model, score="_score", evidence="_evidence")
+    return scored.where(F.col("_score") < TOXICITY_LEAST).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, the one with the least id, stays.
+
+    Rows without an id are their own class. Repeated rows of one id are one document.
+    """
+    classes = near_duplicates(docs)
+    lost = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
+    kept = docs.join(lost, "doc_id", "left_anti")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    return kept.where("doc_id is null").unionAll(
+        kept.where("doc_id is not null").dropDuplicates(["doc_id"])
+    ).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that contain a test item."""
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    lost = new_stage(spark)(found.select("doc_id").distinct(), "contaminated")
+    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document that is left; ``decoded`` is what they decode to."""
+    encoded = bpe_encode(docs, tokenizer_spec())
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stage = new_stage(spark)
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), name)
+    return docs

@@ -143,6 +143,8 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], key: str = "page_id", ur
         )
     ]
     line = scored.where("held_out").agg(*facts)  # one row
+    # Without one kind of URL there are no figures, and the line is null.
+    line = line.where("n_a > 0 and n_r > 0")
     variance = (
         F.col("squares_a") - F.col("n_a") * F.col("mean_a") * F.col("mean_a")
         + F.col("squares_r") - F.col("n_r") * F.col("mean_r") * F.col("mean_r")
@@ -153,7 +155,7 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], key: str = "page_id", ur
         (F.log(F.col("n_r") / F.col("n_a")) - slope * (F.col("mean_a") + F.col("mean_r")) / 2)
         .alias("intercept"),
     )
-    slope, intercept = line.first()
+    slope, intercept = line.first() or (None, None)
     number = [F.lit(x).cast("double") for x in (slope, intercept)]
     known = scored.where(~F.col("held_out")).select("address", "score")
     log_odds = F.col("score") * number[0] + number[1]
