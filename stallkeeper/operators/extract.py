@@ -6,6 +6,10 @@ of ``CANDIDATE``. Nothing is exploded, so a page stays one row until the merge.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Sequence
+
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stallkeeper.constants import RULE_SITES
@@ -226,15 +230,19 @@ def dublin_core_candidate(metas: Column) -> Column:
 
 # --- rules per site -------------------------------------------------------------------------
 
+log = logging.getLogger(__name__)
+
 _RULE_FIELDS = [
     f.name for f in CANDIDATE.fields if isinstance(f.dataType, T.StringType) or f.name == "price"
 ]
 
 
-def fold_rules(rules: DataFrame) -> DataFrame:
-    """One row per site with a map from field to pattern; ``product`` is another word for name.
+def fold_rules(rules: DataFrame, sites: Sequence[str] = RULE_SITES) -> dict[str, dict[str, str]]:
+    """Patterns by site and field; ``product`` is another word for name.
 
-    At most one pattern per known field is kept, so the map cannot grow with the table.
+    At most one pattern per site and known field is kept, so what is collected is bounded by
+    ``sites``, the sites rules may be written for. Patterns that are no regular expressions are
+    left out and reported; their pages keep all other evidence.
     """
     named = rules.select(
         F.col("domain").alias("site"),
@@ -242,41 +250,48 @@ def fold_rules(rules: DataFrame) -> DataFrame:
         # A rule written for ``product`` replaces one for ``name``.
         F.struct((F.col("field") != "product").alias("second"), "pattern").alias("rule"),
     )
+    wanted = F.col("site").isin(list(sites)) & F.col("field").isin(_RULE_FIELDS)
     one_each = (
-        named.filter(F.col("site").isin(RULE_SITES) & F.col("field").isin(_RULE_FIELDS))
+        named.filter(wanted & F.col("rule.pattern").isNotNull())
         .groupBy("site", "field")
         .agg(F.min("rule")["pattern"].alias("pattern"))
     )
-    return one_each.groupBy("site").agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "pattern"))).alias("rules")
-    )
-
-
-def with_site_rules(pages: DataFrame, rules: DataFrame, html: str = "html") -> DataFrame:
+    compiled = rules.sparkSession._jvm.java.util.regex.Pattern
+    folded: dict[str, dict[str, str]] = {}
+    for site, field, pattern in sorted(map(tuple, one_each.collect())):
+        try:
+            compiled.compile(f"{pattern}()")
+        except IllegalArgumentException as error:
+            log.warning("rule of %s for %s left out: %s", site, field, error)
+            continue
+        folded.setdefault(site, {})[field] = pattern
+    return folded
+
+
+def with_site_rules(
+    pages: DataFrame, rules: DataFrame, html: str = "html", sites: Sequence[str] = RULE_SITES
+) -> DataFrame:
     """Add ``rule_candidate``, the fields the site's own patterns find in the page.
 
-    Folding leaves at most one row per known site, so the broadcast is bounded by that list.
+    The patterns are literals in the plan, compiled once per task, and a page meets only its site's.
     """
-    joined = pages.join(F.broadcast(fold_rules(rules)), "site", "left")
-    # The empty group at the end stands in for group 1 of a pattern without groups.
-    found = joined.withColumn(
-        "_found",
-        F.transform_values(
-            "rules",
-            lambda _, pattern: F.call_function(
-                "regexp_extract", F.col(html), F.concat(pattern, F.lit("()")), F.lit(1)
-            ),
-        ),
-    )
-
-    def value(name: str) -> Column:
-        text = F.nullif(F.element_at("_found", F.lit(name)), F.lit(""))
-        return price_from_text(text) if name == "price" else text
-
-    record = candidate(**{name: value(name) for name in _RULE_FIELDS})
-    return found.withColumn(
-        "rule_candidate", F.when(F.col("_found").isNotNull(), record)
-    ).drop("rules", "_found")
+    folded = fold_rules(rules, sites)
+
+    def record(patterns: dict[str, str]) -> Column:
+        def value(name: str) -> Column:
+            if name not in patterns:
+                return F.lit(None).cast("double" if name == "price" else "string")
+            # The empty group at the end stands in for group 1 of a pattern without groups.
+            found = F.regexp_extract(F.col(html), f"{patterns[name]}()", 1)
+            text = F.nullif(found, F.lit(""))
+            return price_from_text(text) if name == "price" else text
+
+        return candidate(**{name: value(name) for name in _RULE_FIELDS})
+
+    found = F.lit(None).cast(CANDIDATE)
+    for site, patterns in folded.items():
+        found = F.when(F.col("site") == site, record(patterns)).otherwise(found)
+    return pages.withColumn("rule_candidate", found)
 
 
 # --- descriptions kept in frames --------------------------------------------------------------

@@ -24,22 +24,32 @@ def merge_page(pages: DataFrame, keep: list[str]) -> DataFrame:
     return merged.select(*keep, "_record.*", F.lit(None).cast("string").alias("ships to"))
 
 
-def merge_by_url(pages: DataFrame, order: str, salts: int = 1) -> DataFrame:
+def merge_by_url(pages: DataFrame, order: str | list[str], salts: int = 1) -> DataFrame:
     """One row per snapshot and URL; per field the first non-null value in page order stays.
 
-    ``order`` must be unique per page. The aggregate combines before the shuffle, so a URL crawled
-    very often sends one row per map task. With ``salts`` above one, the pages of a URL are
-    combined in that many tasks first and only then brought together.
+    ``order`` names the columns that number the pages; together they are unique per page. The
+    aggregate combines before the shuffle, so a URL crawled very often sends one row per map task.
+    With ``salts`` above one, the pages of a URL are combined in that many tasks first and only then
+    brought together. Page text stays out of the aggregate: only the number of the page whose text
+    counts is merged, and that text is fetched once.
     """
     keys = ["snapshot", "url"]
-    names = [f.name for f in MERGED.fields]
+    order = [order] if isinstance(order, str) else order
+    at = f"struct({', '.join(order)})" if len(order) > 1 else order[0]
+    names = [f.name for f in MERGED.fields if f.name != "text"]
     firsts = [
-        F.expr(f"min(if(`{n}` IS NULL, NULL, struct({order} AS at, `{n}` AS v)))") for n in names
+        F.expr(f"min(if(`{n}` IS NULL, NULL, struct({at} AS at, `{n}` AS v)))") for n in names
     ]
+    text_at = F.expr(f"min(if(text IS NULL, NULL, {at}))")
+    columns = [*names, "_text_at"]
     pages = pages.filter(F.col("url").isNotNull())
+    texts = pages.select(F.expr(at).alias("_text_at"), "text").filter("text IS NOT NULL")
+    aggregates = [*firsts, text_at]
     if salts > 1:
-        salt = F.pmod(F.xxhash64(order), F.lit(salts)).alias("_salt")
-        pages = pages.groupBy(*keys, salt).agg(*(c.alias(n) for c, n in zip(firsts, names)))
-        firsts = [F.expr(f"min(`{n}`)") for n in names]
-    merged = pages.groupBy(*keys).agg(*(c.alias(n) for c, n in zip(firsts, names)))
-    return merged.select(*keys, *(F.expr(f"`{n}`.v AS `{n}`") for n in names))
+        salt = F.pmod(F.xxhash64(*order), F.lit(salts)).alias("_salt")
+        pages = pages.groupBy(*keys, salt).agg(*(c.alias(n) for c, n in zip(aggregates, columns)))
+        aggregates = [F.expr(f"min(`{n}`)") for n in columns]
+    merged = pages.groupBy(*keys).agg(*(c.alias(n) for c, n in zip(aggregates, columns)))
+    merged = merged.join(texts, "_text_at", "left")
+    values = {n: F.expr(f"`{n}`.v") for n in names} | {"text": F.col("text")}
+    return merged.select(*keys, *(values[f.name].alias(f.name) for f in MERGED.fields))

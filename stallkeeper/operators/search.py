@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -19,14 +19,19 @@ def shuffled_order(key: str, seed: int) -> Column:
 def topics(
     df: DataFrame, key: str, text: str = "text", k: int = 8, seed: int = 42, max_iter: int = 10
 ) -> DataFrame:
-    """Most likely topic per row (online LDA) and its weight."""
+    """Most likely topic per row (online LDA) and its weight.
+
+    Words are hashed, so no vocabulary is collected and none is cut; every iteration reads every
+    text.
+    """
     stages = [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+", minTokenLength=3),
-        CountVectorizer(inputCol="_words", outputCol="_counts", minDF=2, vocabSize=1 << 15),
+        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=1 << 16),
         LDA(
             k=k,
             seed=seed,
             maxIter=max_iter,
+            subsamplingRate=1.0,
             featuresCol="_counts",
             topicDistributionCol="_topics",
         ),
@@ -57,7 +62,7 @@ def keyword_search(
         without = F.replace(lowered, F.lit(word), F.lit(""))
         return ((F.length(lowered) - F.length(without)) / len(word)).cast("int")
 
-    matches = sum((occurrences(word.lower()) for word in keywords), F.lit(0))
+    matches = sum((occurrences(word.lower()) for word in keywords if word), F.lit(0))
     found = df.withColumn("matches", matches).filter(F.col("matches") > 0)
     return found.orderBy(F.desc("matches"), key).limit(limit)
 
@@ -89,10 +94,10 @@ def vector_search(
 
 
 def latest_labels(labels: DataFrame, key: str, when: str) -> DataFrame:
-    """The newest label row per item; older ones are history."""
-    rest = [c for c in labels.columns if c != key]
-    newest = labels.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(when)).alias("_newest"))
-    return newest.select(key, "_newest.*")
+    """The newest label row per item; older ones are history. Of equal times the greater row counts."""
+    rest = [when, *(c for c in labels.columns if c not in (key, when))]
+    newest = labels.groupBy(key).agg(F.max(F.struct(*rest)).alias("_newest"))
+    return newest.select(key, "_newest.*").select(*labels.columns)
 
 
 def with_labels(rows: DataFrame, labels: DataFrame, key: str, when: str) -> DataFrame:

@@ -4,31 +4,49 @@ from __future__ import annotations
 
 import hashlib
 import logging
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from stallkeeper.constants import LISTING_URL_TOKEN
+from stallkeeper.constants import LISTING_URL_TOKEN, PHRASES_TO_FILTER
 from stallkeeper.functions.fields import to_types
 from stallkeeper.operators.classify import Scorer, TextClassifier, run_task
 from stallkeeper.operators.counters import observed
 from stallkeeper.operators.filters import has_content
 from stallkeeper.operators.geo import geocode
 from stallkeeper.operators.images import with_image_path
-from stallkeeper.plans.listings import ORDER, build_listings
+from stallkeeper.operators.merge import merge_by_url
+from stallkeeper.plans.listings import ORDER, build_evidence, finished
 from stallkeeper.plans.stages import stages_in
-from stallkeeper.schemas import LISTINGS, MANIFEST, SEEN_TEXT
-from stallkeeper.sources.archives import archive_glob, read_archives, snapshot_of
+from stallkeeper.schemas import (
+    COUNTERS,
+    EVIDENCE,
+    FAILED,
+    LISTINGS,
+    MANIFEST,
+    QUARANTINE,
+    SEEN_TEXT,
+)
+from stallkeeper.sources.archives import (
+    archive_glob,
+    broken_archives,
+    line_report,
+    read_archives,
+    snapshot_of,
+)
 from stallkeeper.sources.manifest import (
-    committed_texts,
+    committed,
     current_runs,
+    latest_rows,
+    next_number,
     read_or_empty,
-    rows_of_current_runs,
     to_backfill,
     unprocessed,
 )
+from stallkeeper.sources.storage import remove
 from stallkeeper.sources.tables import write_csv, write_partitions
 
 ENRICHMENT = T.StructType(
@@ -56,10 +74,11 @@ class Job:
     crawler: str
     temporal: bool = False
     token: str = LISTING_URL_TOKEN
+    phrases: Sequence[str] = tuple(PHRASES_TO_FILTER)
     images: bool = False
     image_date: str | None = None
     task: str | None = None
-    # Files of one run. What exceeds it is left for the next run of ``run_all``.
+    # Files of one run. What exceeds it is left for the next run; the listings do not depend on it.
     files_per_run: int = 10_000
     # Tasks to parse in when archives are fewer than cores; None keeps one task per archive.
     spread: int | None = None
@@ -80,17 +99,43 @@ class Inputs:
     classifier: TextClassifier | None = None
     scorer: Scorer | None = None
     models: Mapping[str, TextClassifier] | None = None
+    # Index hits with ``snapshot`` and a ``page_order`` of their own, below 0.
+    hits: DataFrame | None = None
 
 
 def read_manifest(spark: SparkSession, job: Job) -> DataFrame:
     return read_or_empty(spark, job.table("manifest"), MANIFEST)
 
 
+def stored_schema(manifest: DataFrame) -> T.StructType:
+    """The stored columns, and those that runs have added, as their manifest rows say."""
+    extras = manifest.select("extra").filter("extra IS NOT NULL").distinct().collect()
+    fields = {}
+    for row in sorted(extras):
+        for f in T.StructType.fromDDL(row["extra"]).fields:
+            fields.setdefault(f.name, f)
+    return T.StructType(STORED.fields + list(fields.values()))
+
+
 def read_listings(spark: SparkSession, job: Job) -> DataFrame:
-    """Listings of the runs that count."""
-    schema = T.StructType(STORED.fields + [T.StructField("run_id", T.StringType())])
-    stored = read_or_empty(spark, job.table("listings"), schema)
-    return rows_of_current_runs(stored, read_manifest(spark, job))
+    """One row per snapshot and URL over all runs that count.
+
+    A run merges its pages with what earlier runs have recorded of their addresses, so the row
+    written last holds all evidence; see ``commit_run``.
+    """
+    manifest = read_manifest(spark, job)
+    schema = T.StructType(stored_schema(manifest).fields + [T.StructField("run_id", T.StringType())])
+    rows = read_or_empty(spark, job.table("listings"), schema)
+    return latest_rows(rows, manifest, ROW_KEY)
+
+
+def read_run_table(spark: SparkSession, job: Job, name: str) -> DataFrame:
+    """``quarantine`` or ``counters`` rows of the runs that count, or files that ``failed``."""
+    schema = {"quarantine": QUARANTINE, "counters": COUNTERS, "failed": FAILED}[name]
+    rows = read_or_empty(spark, job.table(name), schema)
+    if name == "failed":  # a file that went through later is no longer failed
+        return unprocessed(rows, read_manifest(spark, job))
+    return committed(rows, read_manifest(spark, job))
 
 
 def pending_files(spark: SparkSession, job: Job) -> DataFrame:
@@ -143,91 +188,153 @@ def write_listings(rows: DataFrame, job: Job) -> None:
     write_partitions(rows.hint("rebalance", "snapshot"), job.table("listings"), "snapshot", "run_id")
 
 
+def extra_columns(rows: DataFrame) -> str | None:
+    """The columns beyond the stored ones, as text for the manifest."""
+    known = {*STORED.fieldNames(), "run_id"}
+    extra = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in known]
+    return ", ".join(extra) or None
+
+
+def forget_run(spark: SparkSession, job: Job, run_id: str) -> None:
+    """Remove what an attempt that died has left of a run."""
+    for pattern in ("listings/*", "evidence", "seen_text", "quarantine", "counters"):
+        remove(spark, f"{job.table(pattern)}/run_id={run_id}")
+
+
 def export_csv(spark: SparkSession, job: Job, path: str) -> None:
     """The listings of the runs that count, as CSV."""
     write_csv(read_listings(spark, job), path)
 
 
 def commit_run(
-    spark: SparkSession,
-    job: Job,
-    inputs: Inputs,
-    lines: DataFrame,
-    files: Callable[[], DataFrame],
-    run_id: str,
+    spark: SparkSession, job: Job, inputs: Inputs, lines: DataFrame, files: DataFrame, run_id: str
 ) -> None:
     """Build and write one run. The manifest comes last: before it, nothing of the run counts.
 
-    ``files`` gives the run's ``snapshot, source_file`` rows and is called after the lines are read.
+    The evidence of every page is kept. The addresses a run has pages of are merged from the
+    evidence of all runs, in the order of file name and line, so the listings do not depend on how
+    the files were cut into runs. What the run moves besides its own pages is the evidence of the
+    addresses it meets again.
     """
-    work = spark.conf.get("spark.checkpoint.dir", None) or job.table("_stages")
-    stage = stages_in(f"{work.rstrip('/')}/{run_id}")
-    history = committed_texts(
-        read_or_empty(spark, job.table("seen_text"), SEEN_TEXT), read_manifest(spark, job)
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None) or job.table("_stages")
+    work = f"{shared.rstrip('/')}/{run_id}-{uuid.uuid4().hex[:12]}"  # of this attempt alone
+    stage = stages_in(work)
+    forget_run(spark, job, run_id)
+    manifest = read_manifest(spark, job)
+    history = committed(read_or_empty(spark, job.table("seen_text"), SEEN_TEXT), manifest)
     counted, counters = observed(
         lines,
         has_content(F.col("content")),
-        f"run-{run_id}",
+        f"run-{run_id}-{uuid.uuid4().hex[:8]}",
         malformed=F.col("_corrupt").isNotNull(),
     )
-    listings, winners = build_listings(
+    evidence, winners = build_evidence(
         counted,
         stage,
         rules=inputs.rules,
         frames=inputs.frames,
+        hits=inputs.hits,
         seen_text=history,
         run_id=run_id,
         token=job.token,
-        url_salts=job.url_salts,
+        phrases=job.phrases,
     )
     log.info("run %s: %s", run_id, counters.get)
-    listings = stage(listings, "listings")
+    this_run = F.lit(run_id).alias("run_id")
+    own = evidence.select("*", this_run)
+    # Index hits come from no file.
+    own = own.withColumn("source_file", F.coalesce("source_file", F.lit("")))
+    own = stage(own.filter("url IS NOT NULL").select(*EVIDENCE.fieldNames()), "evidence")
+    write_partitions(own, job.table("evidence"), "run_id")
+    earlier = committed(read_or_empty(spark, job.table("evidence"), EVIDENCE), manifest)
+    met = earlier.join(own.select(*ROW_KEY).distinct(), ROW_KEY, "left_semi")
+    pages = own.unionByName(stage(met, "met_again"))
+    merged = finished(merge_by_url(pages, ["source_file", ORDER], job.url_salts))
+    listings = stage(merged, "listings")
     if inputs.gazetteer is not None:
         listings = geocode(listings, inputs.gazetteer, ROW_KEY)
-    this_run = F.lit(run_id).alias("run_id")
-    write_listings(stored(enriched(listings, job, inputs)).select("*", this_run), job)
+    rows = stored(enriched(listings, job, inputs))
+    write_listings(rows.select("*", this_run), job)
     write_partitions(winners.select("text_key", this_run), job.table("seen_text"), "run_id")
+    bad, figures = line_report(lines, job.token)
+    write_partitions(bad.select("*", this_run), job.table("quarantine"), "run_id")
+    write_partitions(figures.select("*", this_run), job.table("counters"), "run_id")
     write_partitions(
-        files().select(
-            "snapshot", "source_file", F.lit(job.images).alias("enriched"), this_run
+        files.select(
+            "snapshot",
+            "source_file",
+            F.lit(job.images).alias("enriched"),
+            F.lit(next_number(manifest)).alias("seq"),
+            F.lit(extra_columns(rows)).cast("string").alias("extra"),
+            this_run,
         ).coalesce(1),
         job.table("manifest"),
         "run_id",
     )
+    remove(spark, work)
 
 
-def run_batch(spark: SparkSession, job: Job, inputs: Inputs = Inputs()) -> str | None:
-    """One run over the first pending archives; its id, or None when nothing is pending.
+def run_files(spark: SparkSession, job: Job, inputs: Inputs, chosen: list[Row]) -> str | None:
+    """One run over pending files (``snapshot, source_file, path``); None if none can be read.
 
-    The id depends on the files alone, so a run that died is repeated under its own name.
+    The id depends on the files alone, so a run that died is repeated under its own name. If the
+    read fails and files turn out to be cut or garbage, these are recorded as failed, with nothing
+    of their content, and stay pending; any other error goes to the caller.
     """
+    while chosen:
+        names = "\n".join(row["source_file"] for row in chosen)
+        run_id = hashlib.sha256(f"{job.crawler}\n{names}".encode()).hexdigest()[:16]
+        files = spark.createDataFrame(
+            [(row["snapshot"], row["source_file"], at) for at, row in enumerate(chosen)],
+            "snapshot string, source_file string, file_no bigint",
+        )
+        paths = [row["path"] for row in chosen]
+        try:
+            commit_run(spark, job, inputs, ordered_lines(spark, job, files, paths), files, run_id)
+            return run_id
+        except Exception:
+            failed = broken_archives(spark, paths, job.temporal)
+            errors = [(r[0], r[1], r[2], run_id) for r in failed.collect()]  # at most the run's files
+            if not errors:
+                raise
+            log.warning("run %s: %d files cannot be read", run_id, len(errors))
+            write_partitions(spark.createDataFrame(errors, FAILED), job.table("failed"), "run_id")
+            broken = {e[1] for e in errors}
+            chosen = [row for row in chosen if row["source_file"] not in broken]
+    return None
+
+
+def _runs(spark: SparkSession, job: Job, inputs: Inputs, limit: int | None) -> list[str]:
+    """Up to ``limit`` runs over what is pending now, in the order of file names."""
     try:
-        pending = pending_files(spark, job)
+        pending = pending_files(spark, job).select("snapshot", "source_file", "path")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    chosen = pending.orderBy("source_file").limit(job.files_per_run).collect()
-    if not chosen:
-        return None
-    names = "\n".join(row["source_file"] for row in chosen)
-    run_id = hashlib.sha256(names.encode()).hexdigest()[:16]
-    files = spark.createDataFrame(
-        [(row["snapshot"], row["source_file"], at) for at, row in enumerate(chosen)],
-        "snapshot string, source_file string, file_no bigint",
-    )
-    lines = ordered_lines(spark, job, files, [row["path"] for row in chosen])
-    commit_run(spark, job, inputs, lines, lambda: files, run_id)
-    return run_id
+        return []
+    # The names of one run at a time come to the driver; files are listed once for all runs.
+    runs, after = [], ""
+    pending = stages_in(f"{job.table('_pending')}/{uuid.uuid4().hex[:12]}")(pending, "files")
+    while limit is None or len(runs) < limit:
+        left = pending.filter(F.col("source_file") > after).orderBy("source_file")
+        chosen = left.limit(job.files_per_run).collect()
+        if not chosen:
+            break
+        after = chosen[-1]["source_file"]
+        if run_id := run_files(spark, job, inputs, chosen):
+            runs.append(run_id)
+    remove(spark, job.table("_pending"))
+    return runs
+
+
+def run_batch(spark: SparkSession, job: Job, inputs: Inputs = Inputs()) -> str | None:
+    """One run over the first pending archives; its id, or None when nothing is pending."""
+    return next(iter(_runs(spark, job, inputs, 1)), None)
 
 
 def run_all(spark: SparkSession, job: Job, inputs: Inputs = Inputs()) -> list[str]:
-    """Runs until no archive is pending."""
-    runs = []
-    while run_id := run_batch(spark, job, inputs):
-        runs.append(run_id)
-    return runs
+    """Runs over all archives that are pending; files that fail are tried again next time."""
+    return _runs(spark, job, inputs, None)
 
 
 def backfill(spark: SparkSession, job: Job, inputs: Inputs) -> None:
@@ -236,16 +343,23 @@ def backfill(spark: SparkSession, job: Job, inputs: Inputs) -> None:
     The copies are new partitions; nothing is written over rows that are being read.
     """
     manifest = read_manifest(spark, job)
-    schema = T.StructType(STORED.fields + [T.StructField("run_id", T.StringType())])
+    schema = T.StructType(stored_schema(manifest).fields + [T.StructField("run_id", T.StringType())])
     plain = to_backfill(read_or_empty(spark, job.table("listings"), schema), manifest)
-    bare = plain.select(*LISTINGS.fieldNames(), "run_id")
-    copies = stored(enriched(bare, job, inputs))
+    # What the task adds is added anew, what other tasks have added is carried along.
+    added = {f"{c}_{name}" for c in ("label", "score") for name in inputs.models or ()}
+    carried = [n for n in schema.fieldNames() if n not in added | {*ENRICHMENT.fieldNames()}]
+    copies = stored(enriched(plain.select(*(f"`{n}`" for n in carried)), job, inputs))
     renamed = F.concat("run_id", F.lit("-enriched")).alias("run_id")
     write_listings(copies.withColumn("run_id", renamed), job)
     replaced = current_runs(manifest).filter(~F.col("enriched")).select("run_id")
     write_partitions(
         manifest.join(replaced, "run_id", "left_semi").select(
-            "snapshot", "source_file", F.lit(True).alias("enriched"), renamed
+            "snapshot",
+            "source_file",
+            F.lit(True).alias("enriched"),
+            "seq",
+            F.lit(extra_columns(copies)).cast("string").alias("extra"),
+            renamed,
         ),
         job.table("manifest"),
         "run_id",

@@ -39,16 +39,19 @@ def parsed_pages(
 
     ``lines`` are archive lines with a ``page_order`` that is unique per page.
     """
-    pages = listing_pages(lines, token).select(*PAGE_COLUMNS, "html")
+    named = [c for c in ("source_file",) if c in lines.columns]
+    pages = listing_pages(lines, token).select(*PAGE_COLUMNS, *named, "html")
     if rules is not None:
         pages = with_site_rules(pages, rules)
     usable = parse_pages(pages).filter(has_page_text(F.col("text"), phrases))
     return usable.withColumn("text_key", text_key(F.col("text")))
 
 
-def pages_of_hits(hits: DataFrame) -> DataFrame:
+def pages_of_hits(
+    hits: DataFrame, phrases: Sequence[str] = PHRASES_TO_FILTER
+) -> DataFrame:
     """Index hits (with ``snapshot`` and ``page_order``) as pages that carry base evidence only."""
-    pages = index_pages(hits).withColumn("text_key", text_key(F.col("text")))
+    pages = index_pages(hits, phrases).withColumn("text_key", text_key(F.col("text")))
     filled = {
         f.name: F.lit(None).cast(f.dataType) if f.name.startswith("seller") else F.array().cast(f.dataType)
         for f in PARSED.fields
@@ -66,26 +69,40 @@ def first_pages(
     return winners if seen_text is None else not_seen_before(winners, seen_text, run_id)
 
 
-def merged_listings(
+def page_evidence(
     pages: DataFrame,
     winners: DataFrame,
     stage: Stage,
     frames: DataFrame | None = None,
-    url_salts: int = 1,
 ) -> DataFrame:
-    """Evidence of the pages that stay, merged per page and then per snapshot and URL.
+    """One row per page that stays, with all its evidence merged into one record.
 
-    The pages move by page number first and, merged and narrower, by URL afterwards. Moving them by
-    URL alone would save a shuffle, but the pages of a hot URL would meet before they are combined.
+    Repeated texts are the smaller part, so what goes is taken out by its page numbers; the pages
+    themselves do not move where those are few enough to be broadcast.
     """
-    kept = pages.join(winners.select(ORDER), ORDER, "left_semi")
+    losers = pages.select(ORDER).join(winners.select(ORDER), ORDER, "left_anti")
+    kept = pages.join(stage(losers, "losers"), ORDER, "left_anti")
     if frames is not None:
         descriptions = stage(frame_descriptions(kept, frames), "frame_descriptions")
         kept = with_frame_description(kept, descriptions, [ORDER])
-    per_page = merge_page(
-        with_candidates(kept), [ORDER, "snapshot", "url", "text", "domain", "retrieved"]
-    )
-    return finished(merge_by_url(per_page, ORDER, url_salts))
+    named = [c for c in ("source_file",) if c in pages.columns]
+    keep = [*named, ORDER, "snapshot", "url", "text", "domain", "retrieved"]
+    return merge_page(with_candidates(kept), keep)
+
+
+def merged_listings(
+    pages: DataFrame,
+    winners: DataFrame,
+    stage: Stage,
+    frames: DataFrame | None = None,
+    url_salts: int = 1,
+) -> DataFrame:
+    """Evidence of the pages that stay, merged per page and then per snapshot and URL.
+
+    The evidence is staged: its records are read once for the merge and its texts once behind it.
+    """
+    evidence = stage(page_evidence(pages, winners, stage, frames), "evidence")
+    return finished(merge_by_url(evidence, ORDER, url_salts))
 
 
 def finished(listings: DataFrame) -> DataFrame:
@@ -100,7 +117,7 @@ def finished(listings: DataFrame) -> DataFrame:
     )
 
 
-def build_listings(
+def build_evidence(
     lines: DataFrame,
     stage: Stage,
     rules: DataFrame | None = None,
@@ -110,16 +127,26 @@ def build_listings(
     run_id: str = "",
     token: str = LISTING_URL_TOKEN,
     phrases: Sequence[str] = PHRASES_TO_FILTER,
-    url_salts: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
-    """The listings of a run and the ``(text_key, page_order)`` pairs it adds to the history.
+    """The evidence of a run and the ``(text_key, page_order)`` pairs it adds to the history.
 
     The parsed pages and the winning pages are staged: both are read more than once, and parsing
     is the expensive step.
     """
     pages = parsed_pages(lines, rules, token, phrases)
     if hits is not None:
-        pages = pages.unionByName(pages_of_hits(hits), allowMissingColumns=True)
+        pages = pages.unionByName(pages_of_hits(hits, phrases), allowMissingColumns=True)
     pages = stage(pages, "pages")
     winners = stage(first_pages(pages, seen_text, run_id), "winners")
-    return merged_listings(pages, winners, stage, frames, url_salts), winners
+    return page_evidence(pages, winners, stage, frames), winners
+
+
+def build_listings(
+    lines: DataFrame, stage: Stage, url_salts: int = 1, **options
+) -> tuple[DataFrame, DataFrame]:
+    """The listings of one run by itself, and its ``(text_key, page_order)`` pairs.
+
+    ``options`` are those of ``build_evidence``.
+    """
+    evidence, winners = build_evidence(lines, stage, **options)
+    return finished(merge_by_url(stage(evidence, "evidence"), ORDER, url_salts)), winners

@@ -180,6 +180,16 @@ ORACLES: dict[str, str] = {
         FROM listings""",
     "batch_run": _JOB,
     "stream_ingest": _JOB,
+    "multi_run_merge": _JOB,
+    "batch_then_stream": _JOB,
+    "quarantine": """
+        SELECT 'all' AS snapshot, 'malformed' AS reason, '{"url": "cut ' || url AS line FROM pages
+        UNION ALL
+        SELECT 'all', 'not base64', url FROM pages WHERE html IS NOT NULL""",
+    "file_counters": """
+        SELECT 'all' AS snapshot, 3 * count(*) AS received,
+               count(*) FILTER (WHERE html <> '') + count(html) AS kept, count(*) AS malformed
+        FROM pages""",
     "crawl_archive_scan": """
         SELECT url, replace(regexp_extract(url, '//([^/?#]*)', 1), 'www.', '') AS domain,
                strftime(make_timestamp(page_id * 1000000), '%Y-%m-%dT%H:%M:%S.%g+0000') AS retrieved,

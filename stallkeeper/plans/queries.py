@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,7 +22,14 @@ from stallkeeper.operators import (
 from stallkeeper.operators.merge import merge_by_url, merge_page
 from stallkeeper.operators.parse import parse_pages
 from stallkeeper.plans import sample_crawl
-from stallkeeper.plans.batch import Inputs, Job, read_listings, run_all
+from stallkeeper.plans.batch import (
+    Inputs,
+    Job,
+    read_listings,
+    read_run_table,
+    run_all,
+    run_batch,
+)
 from stallkeeper.plans.listings import build_listings, finished, pages_of_hits, parsed_pages
 from stallkeeper.plans.stages import scratch, stages_in
 from stallkeeper.schemas import LISTINGS
@@ -40,15 +48,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt_out(df: DataFrame) -> DataFrame:
-    """For work that is heavy per row: a table in fewer pieces than cores is dealt out evenly.
-
-    Large tables come in more pieces than that and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_archives(lines: DataFrame, folder: str, *more_lines: Column) -> None:
     """Crawl lines as compressed JSON lines; ``more_lines`` are written behind each of them."""
     record = F.to_json(F.struct("url", "content", "content_type", "fetch_time"))
@@ -165,6 +164,59 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _job_result(spark, job)
 
 
+def _in_archives(spark: SparkSession, sf_dir: str) -> tuple[Job, Inputs]:
+    """The sample job with its crawl in eight archives, one file to a run."""
+    job, inputs = _sample_job(spark, sf_dir)
+    root = scratch(spark)
+    pages = sample_crawl.crawl(spark, sf_dir).repartitionByRange(8, "page_order")
+    write_archives(
+        pages.sortWithinPartitions("page_order"), f"{root}/in/{CRAWLER}/data_pages"
+    )
+    return replace(job, input_root=f"{root}/in", output_root=f"{root}/out", files_per_run=1), inputs
+
+
+def multi_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    job, inputs = _in_archives(spark, sf_dir)
+    run_all(spark, job, inputs)
+    return _job_result(spark, job)
+
+
+def batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the archives by a batch run, then a stream over the same folder."""
+    job, inputs = _in_archives(spark, sf_dir)
+    run_batch(spark, replace(job, files_per_run=4), inputs)
+    ingest_stream(spark, job, inputs).awaitTermination()
+    return _job_result(spark, job)
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str) -> Job:
+    """A job over pages, each with a cut line and one that is not base64 behind it."""
+    root = scratch(spark)
+    pages = table(spark, sf_dir, "pages")
+    lines = page_lines(pages, F.col("url"), F.col("html"), F.col("page_id") * 1000)
+    broken = F.to_json(
+        F.struct("url", F.concat("content", F.lit("!")).alias("content"), "content_type")
+    )
+    cut = F.concat(F.lit('{"url": "cut '), F.col("url"))
+    write_archives(lines, f"{root}/in/{CRAWLER}/data_pages", cut, broken)
+    job = Job(f"{root}/in", f"{root}/out", CRAWLER, token="")
+    run_all(spark, job)
+    return job
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_run_table(spark, _broken_lines(spark, sf_dir), "quarantine")
+    return rows.select("snapshot", "reason", "line")
+
+
+def file_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of all files; how many files there are depends on the cluster."""
+    rows = read_run_table(spark, _broken_lines(spark, sf_dir), "counters")
+    return rows.groupBy("snapshot").agg(
+        *(F.sum(c).alias(c) for c in ("received", "kept", "malformed"))
+    )
+
+
 # --- sources, sinks, increments ---------------------------------------------------------------
 
 
@@ -547,7 +599,10 @@ def ebay_description(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def domain_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = archives.listing_pages(sample_crawl.crawl(spark, sf_dir))
-    found = extract.with_site_rules(pages, sample_crawl.rules(spark))
+    # One pattern among the rules is no regular expression; it is left out.
+    rules = sample_crawl.rules(spark)
+    bad = rules.limit(1).withColumns({"field": F.lit("location"), "pattern": F.lit("(unclosed")})
+    found = extract.with_site_rules(pages, rules.unionByName(bad))
     matched = F.col("rule_candidate").isNotNull() & F.col("html").isNotNull()
     return found.filter(matched).select(
         "page_order",
@@ -656,13 +711,13 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("truth"))
-    return dealt_out(table(spark, sf_dir, "documents")).join(truth, "doc_id")
+    return table(spark, sf_dir, "documents").join(truth, "doc_id")
 
 
 def classify_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = _labelled(spark, sf_dir)
     model = classify.train_text_classifier(labelled, scratch(spark), label="truth")
-    documents = dealt_out(table(spark, sf_dir, "documents"))
+    documents = table(spark, sf_dir, "documents")
     scored = classify.run_task(
         documents, "text-classification", lambda df: classify.classify_text(df, model)
     )
@@ -731,7 +786,7 @@ def multi_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = search.topics(dealt_out(table(spark, sf_dir, "documents")), "doc_id")
+    found = search.topics(table(spark, sf_dir, "documents"), "doc_id")
     return found.select("doc_id", "topic", F.round("weight", 6).alias("weight"))
 
 
@@ -783,6 +838,10 @@ QUERIES: dict[str, Query] = {
         listing_merge,
         batch_run,
         stream_ingest,
+        multi_run_merge,
+        batch_then_stream,
+        quarantine,
+        file_counters,
         crawl_archive_scan,
         temporal_scan,
         index_hit_scan,

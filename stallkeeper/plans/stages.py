@@ -13,9 +13,18 @@ Stage = Callable[[DataFrame, str], DataFrame]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is named."""
+    """The folder the cluster names for checkpoints.
+
+    Where none is named, a single machine gets a temporary folder; a cluster is asked to name one,
+    because its executors would each write to a disk of their own.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else tempfile.mkdtemp(prefix="stallkeeper-")
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="stallkeeper-")
 
 
 def scratch(spark: SparkSession) -> str:

@@ -133,5 +133,51 @@ MANIFEST = T.StructType(
         T.StructField("source_file", T.StringType()),
         T.StructField("enriched", T.BooleanType()),
         T.StructField("run_id", T.StringType()),
+        # Place in the order of commits, and the columns a run has stored beyond the usual ones.
+        T.StructField("seq", T.LongType()),
+        T.StructField("extra", T.StringType()),
+    ]
+)
+
+# What every page of a run says about its address, merged over runs.
+EVIDENCE = T.StructType(
+    [
+        T.StructField("source_file", T.StringType()),
+        T.StructField("page_order", T.LongType()),
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("url", T.StringType()),
+        *MERGED.fields,
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
+FAILED = T.StructType(
+    [
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
+QUARANTINE = T.StructType(
+    [
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("line", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
+COUNTERS = T.StructType(
+    [
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("received", T.LongType()),
+        T.StructField("kept", T.LongType()),
+        T.StructField("malformed", T.LongType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("run_id", T.StringType()),
     ]
 )

@@ -30,12 +30,12 @@ def read_archives(
     """Archive lines with ``snapshot``, ``source_file`` and ``row_no``.
 
     Archives cannot be split: a file is read in order by one task, so ``row_no`` grows along each
-    file. Unreadable files give what could be read; malformed lines keep their text in ``_corrupt``.
+    file. Malformed lines keep their text in ``_corrupt``. A file that cannot be read to its end fails
+    the read; ``broken_archives`` says which ones those are.
     """
     lines = (
         spark.read.schema(CRAWL)
         .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("ignoreCorruptFiles", "true")
         .json(paths)
     )
     return lines.select(
@@ -46,6 +46,66 @@ def read_archives(
     )
 
 
+def broken_archives(spark: SparkSession, paths: list[str], temporal: bool = False) -> DataFrame:
+    """``snapshot, source_file, error`` of the archives that are cut or no zlib stream at all.
+
+    Each file is inflated by one task and nothing of it is kept. It is asked only after a read failed.
+    """
+    files = spark.read.format("binaryFile").load(paths)
+    named = files.select(
+        snapshot_of(F.col("_metadata.file_path"), temporal).alias("snapshot"),
+        F.col("_metadata.file_path").alias("source_file"),
+        "content",
+    )
+
+    def inflate(batches):
+        import zlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            errors = []
+            for content in batch.column(2):
+                reader, data, error = zlib.decompressobj(), memoryview(content.as_buffer()), None
+                try:
+                    for at in range(0, len(data), 1 << 20):
+                        rest = data[at : at + (1 << 20)]
+                        while rest:
+                            reader.decompress(rest, 1 << 20)
+                            rest = reader.unconsumed_tail
+                    error = None if reader.eof or not len(data) else "it ends before its stream does"
+                except zlib.error as failed:
+                    error = str(failed)
+                errors.append(error)
+            columns = [batch.column(0), batch.column(1), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["snapshot", "source_file", "error"])
+
+    checked = named.mapInArrow(inflate, "snapshot string, source_file string, error string")
+    return checked.filter("error IS NOT NULL")
+
+
+def line_report(lines: DataFrame, token: str = LISTING_URL_TOKEN) -> tuple[DataFrame, DataFrame]:
+    """Quarantined lines (``snapshot, source_file, reason, line``), and figures per file.
+
+    A line is malformed if it is not a JSON record, and not base64 if its content cannot be decoded;
+    of the latter the address is kept. ``kept`` counts records with content under a listing address.
+    """
+    cut = F.col("_corrupt").isNotNull()
+    asked = ~cut & is_listing_url(F.col("url"), token) & has_content(F.col("content"))
+    reason = F.when(cut, "malformed").when(
+        asked & page_html(F.col("content")).isNull(), "not base64"
+    )
+    line = F.when(cut, F.col("_corrupt")).otherwise(F.col("url"))
+    marked = lines.select("snapshot", "source_file", reason.alias("reason"), line.alias("line"))
+    figures = lines.groupBy("snapshot", "source_file").agg(
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(F.coalesce(asked, F.lit(False))).alias("kept"),
+        F.count_if(cut).alias("malformed"),
+        F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes"),
+    )
+    return marked.filter("reason IS NOT NULL"), figures
+
+
 def listing_pages(lines: DataFrame, token: str = LISTING_URL_TOKEN) -> DataFrame:
     """Pages to be parsed, from archive lines: the cheap tests come before decode and parse.
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stallkeeper.constants import PHRASES_TO_EXCLUDE
+from stallkeeper.constants import PHRASES_TO_EXCLUDE, PHRASES_TO_FILTER
 from stallkeeper.functions.urls import site_label
 from stallkeeper.operators.filters import has_page_text
 from stallkeeper.schemas import INDEX_HIT
@@ -17,16 +17,17 @@ def read_index_hits(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.schema(INDEX_HIT).json(paths).select("_source.*")
 
 
-def index_pages(hits: DataFrame) -> DataFrame:
+def index_pages(hits: DataFrame, phrases: Sequence[str] = PHRASES_TO_FILTER) -> DataFrame:
     """Hits with usable text. Their text is already extracted, so they join the plan unparsed."""
-    return hits.filter(has_page_text(F.col("text"))).withColumn(
+    return hits.filter(has_page_text(F.col("text"), phrases)).withColumn(
         "site", site_label(F.col("domain"))
     )
 
 
 def holds_phrase(text: Column, phrases: Sequence[str]) -> Column:
     """Any of the phrases, any case, as whole words with anything but words in between."""
-    spelled = "|".join(r"\W+".join(p.lower().split()) for p in phrases)
+    quoted = ([rf"\Q{w}\E" for w in p.lower().replace("\\E", "").split()] for p in phrases)
+    spelled = "|".join(r"\W+".join(words) for words in quoted)
     return F.coalesce(text.rlike(rf"(?iU)\b(?:{spelled})\b"), F.lit(False))
 
 

@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stallkeeper.plans.batch import Inputs, Job, commit_run
-from stallkeeper.plans.listings import ORDER
-from stallkeeper.schemas import CRAWL
+from stallkeeper.plans.batch import Inputs, Job, read_manifest, run_files
 from stallkeeper.sources.archives import archive_glob, snapshot_of
+from stallkeeper.sources.manifest import unprocessed
 
 
 def archive_stream(spark: SparkSession, job: Job, files_per_trigger: int = 1000) -> DataFrame:
-    """Archive lines as they arrive."""
-    lines = (
-        spark.readStream.schema(CRAWL)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("ignoreCorruptFiles", "true")
+    """``snapshot, source_file, path`` of archives as they arrive; their contents stay unread."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .json(archive_glob(job.input_root, job.crawler, job.temporal))
+        .load(archive_glob(job.input_root, job.crawler, job.temporal))
     )
     path = F.col("_metadata.file_path")
-    return lines.select(
-        snapshot_of(path, job.temporal).alias("snapshot"), path.alias("source_file"), "*"
+    return files.select(
+        snapshot_of(path, job.temporal).alias("snapshot"), path.alias("source_file"), "path"
     )
 
 
@@ -34,32 +32,22 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Process what has arrived, one run per micro-batch, then stop.
 
-    A micro-batch repeated after a failure writes the same partitions again.
+    A micro-batch is a batch run over its files: it has the id these files give it, and files that a
+    run of either kind has committed are left out, so a lost checkpoint, a repeated micro-batch, and
+    a batch job over the same output change nothing. A file that cannot be read is recorded as
+    failed; the stream does not meet it again, the next batch run does.
     """
 
-    def one_run(lines: DataFrame, epoch: int) -> None:
-        run_id = f"stream-{epoch:010d}"
-        # The files are noted while the lines are read; asking for them would read all lines again.
-        # A trigger takes at most ``files_per_trigger`` of them.
-        seen = Observation(f"files-{run_id}")
-        noted = lines.observe(
-            seen, F.collect_set(F.struct("snapshot", "source_file")).alias("files")
-        )
-        ordered = noted.withColumn(
-            ORDER, F.struct("source_file", F.monotonically_increasing_id().alias("row_no"))
-        )
-
-        def files() -> DataFrame:
-            return lines.sparkSession.createDataFrame(
-                [tuple(f) for f in seen.get["files"]], "snapshot string, source_file string"
-            )
-
-        commit_run(lines.sparkSession, job, inputs, ordered, files, run_id)
+    def one_run(files: DataFrame, epoch: int) -> None:
+        pending = unprocessed(files, read_manifest(files.sparkSession, job))
+        # At most ``files_per_trigger`` names.
+        chosen = pending.select("snapshot", "source_file", "path").orderBy("source_file").collect()
+        run_files(files.sparkSession, job, inputs, chosen)
 
     return (
         archive_stream(spark, job, files_per_trigger)
         .writeStream.foreachBatch(one_run)
-        .option("checkpointLocation", job.table("_checkpoint"))
+        .option("checkpointLocation", f"{job.table('_checkpoint')}/{job.crawler}")
         .trigger(availableNow=True)
         .start()
     )
