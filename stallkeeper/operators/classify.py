@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -78,28 +79,32 @@ def train_text_classifier(
 ) -> PipelineModel:
     """Hashed word counts, IDF weights, logistic regression; the model is kept under ``path``.
 
-    The model is returned as read back: fresh from training it drags its summary, and with it the
-    session, into every task.
+    The texts are cut into words and hashed once; the counts are written below ``path``, and both
+    fits, with all their passes, read those. The model is returned as read back: fresh from training
+    it drags its summary, and with it the session, into every task.
     """
-    stages = [
+    cut = [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+"),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
-        IDF(inputCol="_counts", outputCol="_features"),
-        LogisticRegression(
-            featuresCol="_features",
-            labelCol="_label",
-            predictionCol="_prediction",
-            probabilityCol="_probability",
-            rawPredictionCol="_raw",
-            maxIter=20,
-            regParam=0.01,
-        ),
     ]
     prepared = examples.select(
         F.coalesce(text, F.lit("")).alias("_text"), F.col(label).cast("double").alias("_label")
     )
-    Pipeline(stages=stages).fit(prepared).write().overwrite().save(path)
-    return PipelineModel.load(path)
+    counts = PipelineModel(cut).transform(prepared).select("_counts", "_label")
+    counts.write.mode("overwrite").parquet(f"{path}/counts")
+    counts = examples.sparkSession.read.parquet(f"{path}/counts")
+    idf = IDF(inputCol="_counts", outputCol="_features").fit(counts)
+    regression = LogisticRegression(
+        featuresCol="_features",
+        labelCol="_label",
+        predictionCol="_prediction",
+        probabilityCol="_probability",
+        rawPredictionCol="_raw",
+        maxIter=20,
+        regParam=0.01,
+    ).fit(idf.transform(counts))
+    PipelineModel([*cut, idf, regression]).write().overwrite().save(f"{path}/model")
+    return PipelineModel.load(f"{path}/model")
 
 
 def classify_text(df: DataFrame, model: PipelineModel, text: str = "text") -> DataFrame:
@@ -112,6 +117,53 @@ def classify_text(df: DataFrame, model: PipelineModel, text: str = "text") -> Da
     )
 
 
+def _word_counts(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """Occurrences of every word, by row or whatever ``keep`` names; combined before the shuffle."""
+    cut = df.select(*keep, F.explode(words(F.coalesce(text, F.lit("")))).alias("word"))
+    return cut.filter("word <> ''").groupBy(*keep, "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def train_naive_bayes(
+    examples: DataFrame, text: str = "text", label: str = "label"
+) -> tuple[DataFrame, float]:
+    """Multinomial naive Bayes for labels 0 and 1, one pass over the word counts.
+
+    Gives ``word, weight`` with ``weight = log p(word | 1) - log p(word | 0)``, one added to every
+    count, and the log odds of the labels. Words no example has weigh nothing.
+    """
+    own = examples.filter(F.col(label).isin(0, 1))
+    ones, zeros = (F.count_if(F.col(label) == y).alias(f"n{y}") for y in (1, 0))
+    n1, n0 = own.agg(ones, zeros).first()
+    counts = _word_counts(own, text, label).groupBy("word").agg(
+        *(F.sum(F.when(F.col(label) == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (1, 0))
+    )
+    size = counts.agg(
+        F.count(F.lit(1)).alias("v"), F.sum("n1").alias("all1"), F.sum("n0").alias("all0")
+    )
+    given = [F.log((F.col(f"n{y}") + 1) / (F.col(f"all{y}") + F.col("v"))) for y in (1, 0)]
+    # ``size`` is one row.
+    weights = counts.join(F.broadcast(size)).select("word", (given[0] - given[1]).alias("weight"))
+    return weights, math.log(max(n1, 1) / max(n0, 1))
+
+
+def classify_naive_bayes(
+    df: DataFrame, model: tuple[DataFrame, float], key: str, text: str = "text"
+) -> DataFrame:
+    """``key``, ``label`` and ``score``, the probability of that label, of rows unique by ``key``.
+
+    Only word counts meet the model; rows without a known word have the odds of the labels.
+    """
+    weights, odds = model
+    found = _word_counts(df, text, key).join(weights, "word")
+    sums = found.groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("_sum"))
+    log_odds = F.coalesce("_sum", F.lit(0.0)) + F.lit(odds)
+    return df.select(key).join(sums, key, "left").select(
+        key,
+        (log_odds > 0).cast("int").alias("label"),
+        (1 / (1 + F.exp(-F.abs(log_odds)))).alias("score"),
+    )
+
+
 def run_task(
     df: DataFrame,
     task: str | None,

@@ -171,6 +171,29 @@ def _decoded(text: str) -> str:
 
 _PRICES = """(SELECT p_partkey, p_partkey % 6 AS style, p_retailprice AS p FROM part)"""
 
+_BAYES = """
+WITH words AS (
+  SELECT doc_id, word, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word FROM documents)
+  WHERE word <> '' GROUP BY ALL
+), counts AS (
+  SELECT word, sum(CASE WHEN quality = 1 THEN n ELSE 0 END) AS n1,
+    sum(CASE WHEN quality = 0 THEN n ELSE 0 END) AS n0
+  FROM words JOIN labels USING (doc_id) WHERE doc_id % 2 = 0 GROUP BY word
+), size AS (
+  SELECT count(*) AS v, sum(n1) AS all1, sum(n0) AS all0 FROM counts
+), weights AS (
+  SELECT word, ln((n1 + 1) / (all1 + v)) - ln((n0 + 1) / (all0 + v)) AS weight FROM counts, size
+), odds AS (
+  SELECT ln(count(*) FILTER (WHERE quality = 1) / count(*) FILTER (WHERE quality = 0)) AS odds
+  FROM labels JOIN documents USING (doc_id) WHERE doc_id % 2 = 0
+), sums AS (
+  SELECT doc_id, sum(n * weight) AS total FROM words JOIN weights USING (word) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, coalesce(total, 0) + odds AS x
+  FROM documents LEFT JOIN sums USING (doc_id), odds
+)"""
+
 ORACLES: dict[str, str] = {
     "listing_merge": f"""
         WITH {_LISTINGS}
@@ -385,6 +408,11 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (WHERE text <> '' AND {_NO_PHRASE}) AS kept,
                sum(strlen(text))::BIGINT AS bytes
         FROM {_PHRASED} GROUP BY source""",
+    "naive_bayes": f"""{_BAYES}
+        SELECT doc_id, (x > 0)::INT AS label, round(1 / (1 + exp(-abs(x))), 4) AS score FROM found""",
+    "naive_bayes_metrics": f"""{_BAYES}
+        SELECT quality AS truth, (x > 0)::INT AS label, count(*) AS n
+        FROM found JOIN labels USING (doc_id) WHERE doc_id % 2 = 1 GROUP BY ALL""",
     "confusion_table": """
         SELECT quality, toxic, count(*) AS n FROM labels GROUP BY quality, toxic""",
     "label_metrics": """

@@ -735,6 +735,24 @@ def classifier_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.evaluate(classify.confusion(scored))
 
 
+def _bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the labels of even documents, and the labels where there are any."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    examples = documents.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
+    model = classify.train_naive_bayes(examples.filter("doc_id % 2 = 0"), label="quality")
+    found = classify.classify_naive_bayes(documents.select("doc_id", "text"), model, "doc_id")
+    return found.join(labels.select("doc_id", F.col("quality").alias("truth")), "doc_id", "left")
+
+
+def naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bayes(spark, sf_dir).select("doc_id", "label", F.round("score", 4).alias("score"))
+
+
+def naive_bayes_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _bayes(spark, sf_dir).filter("doc_id % 2 = 1 AND truth IS NOT NULL")
+    return classify.confusion(held_out)
+
+
 def confusion_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity labels taken as predictions of the quality label."""
     labels = table(spark, sf_dir, "labels")
@@ -883,6 +901,8 @@ QUERIES: dict[str, Query] = {
         run_counters,
         classify_text,
         classifier_metrics,
+        naive_bayes,
+        naive_bayes_metrics,
         confusion_table,
         label_metrics,
         zero_shot,
