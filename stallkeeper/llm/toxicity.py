@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples, exact TF-IDF cosine over a block-max inverted index.
 
 Terms are the words of a text and their beginnings of ``PREFIXES`` letters. Those that occur in
-toxic texts significantly more often than in others (log-likelihood ratio) are the vocabulary; the
-document frequencies behind their weights are counted over all documents. Labelled texts become
+toxic texts significantly more often than in others (log-likelihood ratio), and mostly in these, are
+the vocabulary; the document frequencies behind their weights are counted over all documents. Labelled texts become
 examples, equal vectors one example with its numbers of texts and of toxic ones. The index cuts the
 examples into blocks and keeps, for each term and block, the largest weight. A query visits blocks
 in the order of their upper bounds and stops where no block can reach its ``NEIGHBOURS``-th best
@@ -29,13 +29,17 @@ from stallkeeper.llm.quality import isotonic
 
 NEIGHBOURS = 10
 BLOCK = 64
+FIRST_BLOCKS = 8
 PREFIXES = (4, 5)
 SHARE_STEPS = 200
 CALIBRATION_PARTS = 4
 # Bounds of the fit: labelled texts that callers give (``bounded_sample``), terms of the vocabulary.
 MAX_LABELLED = 100_000
-MAX_TERMS = 4096
+MAX_TERMS = 2048
 LEAST_TEXTS = 3
+# Share of toxic ones among the labelled texts with a term. Copies of a toxic text make its other
+# words look toxic too; these are the words of clean texts as well.
+LEAST_TOXIC = 0.7
 
 _WORD = re.compile(r"\w+")
 
@@ -59,6 +63,7 @@ class ExampleIndex:
     start: np.ndarray = field(init=False)  # first posting of each term
     example: np.ndarray = field(init=False)
     weight: np.ndarray = field(init=False)
+    block: np.ndarray = field(init=False)
     largest: np.ndarray = field(init=False)
 
     def __post_init__(self):
@@ -67,6 +72,7 @@ class ExampleIndex:
         term = np.array([t for t, _, _ in triples], np.int64)
         self.example = np.array([e for _, e, _ in triples], np.int64)
         self.weight = np.array([w for _, _, w in triples], float)
+        self.block = self.example // BLOCK
         self.start = np.searchsorted(term, np.arange(self.terms + 1))
         blocks = -(-len(self.vectors) // BLOCK)
         self.largest = np.zeros((self.terms, blocks), np.float32)
@@ -80,20 +86,25 @@ class ExampleIndex:
             return []
         bounds = np.asarray(weights) @ self.largest[terms]
         order = np.argsort(-bounds, kind="stable")
-        best: list[tuple[float, int]] = []  # (-similarity, example), sorted
-        for block in order:
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < -best[-1][0] - 1e-9):
-                break
-            low, scores = block * BLOCK, np.zeros(BLOCK)
+        order = order[bounds[order] > 0]
+        scores = np.zeros(len(self.vectors))
+        at, size, least = 0, FIRST_BLOCKS, 0.0
+        # Blocks in the order of their bounds, twice as many each time.
+        while at < len(order) and bounds[order[at]] >= least - 1e-9:
+            chosen = np.zeros(len(bounds), bool)
+            chosen[order[at : at + size]] = True
             for t, w in zip(terms, weights):
-                if self.largest[t, block] > 0:
-                    a, b = self.start[t], self.start[t + 1]
-                    i, j = a + np.searchsorted(self.example[a:b], (low, low + BLOCK))
-                    scores[self.example[i:j] - low] += w * self.weight[i:j]
-            hits = np.flatnonzero(scores)
-            best += [(-round(float(s), 9), int(low + e)) for e, s in zip(hits, scores[hits])]
-            best = sorted(best)[:k]
-        return [(-s, e) for s, e in best]
+                own = slice(self.start[t], self.start[t + 1])
+                there = chosen[self.block[own]]
+                scores[self.example[own][there]] += w * self.weight[own][there]
+            at, size = at + size, 2 * size
+            found = np.flatnonzero(scores)
+            if len(found) >= k:
+                least = np.partition(scores[found], len(found) - k)[len(found) - k]
+        found = np.flatnonzero(scores)
+        similar = np.round(scores[found], 9)
+        best = np.lexsort((found, -similar))[:k]
+        return [(float(similar[i]), int(found[i])) for i in best]
 
 
 @dataclass
@@ -185,7 +196,8 @@ def _vocabulary(labelled: DataFrame) -> list[str]:
         + part(positive - m, total - n, positive)
         + part(total - positive - n + m, total - n, total - positive)
     )
-    strong = counted.where(m >= LEAST_TEXTS).where(m * total > n * positive)
+    strong = counted.where((m >= LEAST_TEXTS) & (m >= n * LEAST_TOXIC))
+    strong = strong.where(m * total > n * positive)
     # The ratio that chance exceeds for about one of all the terms.
     least = 2 * math.log(max(counted.count(), 2))
     strong = strong.withColumn("ratio", ratio).where(F.col("ratio") >= least)
