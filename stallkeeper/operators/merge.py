@@ -21,7 +21,10 @@ def merge_candidates(candidates: str) -> Column:
 def merge_page(pages: DataFrame, keep: list[str]) -> DataFrame:
     """One row per page with the merged record, so the shuffle by URL sees each page once."""
     merged = pages.select(*keep, merge_candidates("candidates").alias("_record"))
-    return merged.select(*keep, "_record.*", F.lit(None).cast("string").alias("ships to"))
+    has_text = [F.col("text").isNotNull().alias("has_text")] if "text" in keep else []
+    return merged.select(
+        *keep, "_record.*", F.lit(None).cast("string").alias("ships to"), *has_text
+    )
 
 
 def merge_by_url(pages: DataFrame, order: str | list[str], salts: int = 1) -> DataFrame:
@@ -40,7 +43,9 @@ def merge_by_url(pages: DataFrame, order: str | list[str], salts: int = 1) -> Da
     firsts = [
         F.expr(f"min(if(`{n}` IS NULL, NULL, struct({at} AS at, `{n}` AS v)))") for n in names
     ]
-    text_at = F.expr(f"min(if(text IS NULL, NULL, {at}))")
+    # Evidence says whether it has a text, so a scan for the merge need not read the texts.
+    has_text = "has_text" if "has_text" in pages.columns else "text IS NOT NULL"
+    text_at = F.expr(f"min(if({has_text}, {at}, NULL))")
     columns = [*names, "_text_at"]
     pages = pages.filter(F.col("url").isNotNull())
     texts = pages.select(F.expr(at).alias("_text_at"), "text").filter("text IS NOT NULL")

@@ -147,6 +147,7 @@ EVIDENCE = T.StructType(
         T.StructField("snapshot", T.StringType()),
         T.StructField("url", T.StringType()),
         *MERGED.fields,
+        T.StructField("has_text", T.BooleanType()),
         T.StructField("run_id", T.StringType()),
     ]
 )

@@ -47,6 +47,18 @@ def test_listings_shuffle_pages_once_to_dedup_and_once_to_merge(spark, sf_dir, t
     assert "Python" not in plan and "MapInArrow" not in plan
 
 
+def test_page_text_stays_out_of_the_merge(spark, sf_dir, tmp_path):
+    stage = stages_in(str(tmp_path))
+    pages = stage(parsed_pages(sample_crawl.crawl(spark, sf_dir)), "pages")
+    winners = stage(dedup.first_of_each_text(pages.select("text_key", "page_order"), "page_order"), "w")
+    plan = plan_of(merged_listings(pages, winners, stage))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    # One scan for the merge without text, one for the texts alone; no aggregate holds a text.
+    assert sum("text:string" in s for s in scans) == 1 and len(scans) == 2
+    assert "title" not in next(s for s in scans if "text:string" in s)
+    assert not any("text#" in a.replace("has_text#", "") for a in plan.splitlines() if "Aggregate" in a)
+
+
 def test_winners_are_decided_on_narrow_rows_combined_before_the_shuffle(spark, sf_dir, tmp_path):
     pages = stages_in(str(tmp_path))(parsed_pages(sample_crawl.crawl(spark, sf_dir)), "pages")
     keys = dedup.first_of_each_text(pages.select("text_key", "page_order"), "page_order")
