@@ -156,7 +156,7 @@ def ordered_lines(spark: SparkSession, job: Job, files: DataFrame, paths: list[s
 
     ``files`` has at most ``files_per_run`` rows, which bounds the broadcast.
     """
-    lines = read_archives(spark, paths, job.temporal).join(
+    lines = read_archives(spark, paths, job.temporal, strict=True).join(
         F.broadcast(files.select("source_file", "file_no")), "source_file"
     )
     line_no = F.col("row_no").bitwiseAND(F.lit((1 << ROW_BITS) - 1))

@@ -25,17 +25,19 @@ def snapshot_of(path: Column, temporal: bool) -> Column:
 
 
 def read_archives(
-    spark: SparkSession, paths: str | list[str], temporal: bool = False
+    spark: SparkSession, paths: str | list[str], temporal: bool = False, strict: bool = False
 ) -> DataFrame:
     """Archive lines with ``snapshot``, ``source_file`` and ``row_no``.
 
     Archives cannot be split: a file is read in order by one task, so ``row_no`` grows along each
-    file. Malformed lines keep their text in ``_corrupt``. A file that cannot be read to its end fails
-    the read; ``broken_archives`` says which ones those are.
+    file. Malformed lines keep their text in ``_corrupt``. With ``strict``, as in
+    jobs, a file that cannot be read to its end fails the read, and ``broken_archives`` says which ones
+    those are; without, for a look at a folder, such a file gives what could be read.
     """
     lines = (
         spark.read.schema(CRAWL)
         .option("columnNameOfCorruptRecord", "_corrupt")
+        .option("ignoreCorruptFiles", str(not strict).lower())
         .json(paths)
     )
     return lines.select(
