@@ -16,7 +16,7 @@ def components(links: DataFrame, stage: Callable[[DataFrame, str], DataFrame], n
     iteration writes the links of each round to shared storage.
     """
     a, b = F.col("a"), F.col("b")
-    now = stage(links.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), f"{name}_0")
+    now = links.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     number = 0
     while True:
         number += 1
@@ -24,19 +24,17 @@ def components(links: DataFrame, stage: Callable[[DataFrame, str], DataFrame], n
         both = now.unionAll(now.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where(b > a).join(least, "a").where(b != F.col("m"))
-        large = stage(large.select(b.alias("a"), F.col("m").alias("b")).distinct(), f"{name}_{number}_large")
+        large = large.select(b.alias("a"), F.col("m").alias("b"))
         # Small star: a node and its lower neighbours are linked to the least of these.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.select(b.alias("a"), F.col("m").alias("b")).unionAll(
-            least.select("a", F.col("m").alias("b"))
+        small = large.join(least, "a").select(b.alias("a"), F.col("m").alias("b"))
+        small = small.unionAll(least.select("a", F.col("m").alias("b")))
+        now = stage(small.where(a != b).distinct(), f"{name}_{number}")
+        # Done when no node has two parents, or is both a parent and a child.
+        ends = now.select(a.alias("node"), F.lit(2).alias("x")).unionAll(
+            now.select(b.alias("node"), F.lit(1).alias("x")).distinct()
         )
-        small = stage(small.where(a != b).distinct(), f"{name}_{number}_small")
-        # Done when no node has two parents and no parent has one.
-        parents = small.select(b.alias("node")).distinct()
-        nested = small.join(parents, small["a"] == parents["node"], "left_semi")
-        if small.groupBy("a").count().where("count > 1").isEmpty() and nested.isEmpty():
+        if ends.groupBy("node").agg(F.sum("x").alias("x")).where("x > 2").isEmpty():
             break
-        now = small
-    roots = small.select(b.alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return stage(small.select(a.alias("node"), b.alias("component")).unionAll(roots), f"{name}_done")
+    roots = now.select(b.alias("node")).distinct().select("node", F.col("node").alias("component"))
+    return stage(now.select(a.alias("node"), b.alias("component")).unionAll(roots), f"{name}_done")

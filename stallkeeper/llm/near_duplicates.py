@@ -17,7 +17,7 @@ Texts that share no more than common passages, lines or words drop out, however
 
 *Pairs*: equal texts are one text first. A bucket links its members to its most central one (whose
 bands are the most frequent), which is a pair per member; members that are verified to be in one
-class need no further comparison. After some such rounds, the members of buckets that still hold
+class need no further comparison. After that, the members of buckets that still hold
 several classes are sketched anew with eight times the slots, which leaves only texts with a similarity very
 near the threshold in buckets. Of these, all sketches in different classes are compared: buckets
 that share members form a group, a group is cut into blocks of about ``BLOCK`` members, and each two
@@ -70,7 +70,7 @@ class Level:
         return math.floor(self.slots * p - 4.5 * math.sqrt(self.slots * p * (1 - p)))
 
 
-LEVELS = (Level(128, 2), Level(1024, 1))
+LEVELS = (Level(128, 1), Level(1024, 1))
 BLOCK = 128
 
 _WORD = re.compile(r"\w+")
@@ -241,7 +241,7 @@ def _verified(
                     sets.clear()
             yield out
 
-    return stage(map_batches(pairs, exact, "a binary, b binary"), f"{name}_links").distinct()
+    return stage(map_batches(pairs, exact, "a binary, b binary"), f"{name}_links")
 
 
 def _alike_in_blocks(left: DataFrame, nodes: DataFrame, level: Level, stage) -> DataFrame:
@@ -287,8 +287,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``key`` and ``class_id`` of every row: the least key of the texts it is a near-duplicate of.
 
     Texts that differ in case, white space or marks only are equal. A null text, and one without a
-    word, is in a class of its own. Repeated rows, and rows under one key, get a row each. Other
-    columns are not read.
+    word, is in a class of its own. Repeated rows, and rows under one key, get a row each. A row
+    without a key is linked to equal texts only. Other columns are not read.
     """
     stage = new_stage(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
@@ -312,6 +312,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     def compare(pairs: DataFrame, name: str) -> None:
         nonlocal links, classes
         found = _verified(pairs.select(F.col("node").alias("a"), "b"), nodes, level, rows, stage, name)
+        if found.isEmpty():
+            return
         links = found if links is None else links.unionAll(found)
         classes = components(links, stage, f"{name}_classes")
 
