@@ -1,126 +1,254 @@
-"""Toxicity by the nearest labelled examples, exact TF-IDF cosine over a block-max inverted index.
-
-Terms are the words of a text and their beginnings of ``PREFIXES`` letters. Those that occur in
-toxic texts significantly more often than in others (log-likelihood ratio), and mostly in these, are
-the vocabulary; the document frequencies behind their weights are counted over all documents. Labelled texts become
-examples, equal vectors one example with its numbers of texts and of toxic ones. The index cuts the
-examples into blocks and keeps, for each term and block, the largest weight. A query visits blocks
-in the order of their upper bounds and stops where no block can reach its ``NEIGHBOURS``-th best
-similarity, so the neighbours are exact. Their votes are weighted by distance; the share of toxic
-votes is calibrated by isotonic regression on labelled texts that are not examples. A text without
-any term of the vocabulary has no neighbours and the share 0.
+"""Toxicity by the nearest labelled examples, exact TF-IDF cosine over an inverted index.
+
+Labelled texts with equal sequences of words are one example with its numbers of texts and of toxic
+ones. Terms are words and beginnings of words of ``PREFIXES`` letters, by a hash of 63 bits, that occur in
+toxic texts significantly more often than in others (log-likelihood ratio over distinct texts), and
+mostly in these; document frequencies are counted over all documents.
+Terms of very many examples are scored by a matrix product, the others by their postings, in single
+precision; what can be among the ``NEIGHBOURS`` best by the bound of its rounding is computed anew
+in double precision, so the neighbours are exact. Their votes are weighted by distance; the share of
+toxic votes is calibrated by isotonic regression on labelled texts that are not examples. A text
+without any term has no neighbours and the share 0.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from stallkeeper.llm.common import map_batches, new_stage, values
+from stallkeeper.llm.common import map_batches, new_stage, remainder, values
 from stallkeeper.llm.quality import isotonic
 
 NEIGHBOURS = 10
 BLOCK = 64
-FIRST_BLOCKS = 8
+QUERIES = 32
 PREFIXES = (4, 5)
 SHARE_STEPS = 200
 CALIBRATION_PARTS = 4
-# Bounds of the fit: labelled texts that callers give (``bounded_sample``), terms of the vocabulary.
+# Bound of the fit: labelled texts that callers give (``bounded_sample``).
 MAX_LABELLED = 100_000
-MAX_TERMS = 2048
 LEAST_TEXTS = 3
 # Share of toxic ones among the labelled texts with a term. Copies of a toxic text make its other
 # words look toxic too; these are the words of clean texts as well.
 LEAST_TOXIC = 0.7
+TOXIC_WEIGHT = 10.0
+# Share of the examples from which a term is scored by the matrix product, and most such terms.
+DENSE_SHARE = 0.1
+DENSE_TERMS = 512
+LONG_POSTINGS = 1000
 
 _WORD = re.compile(r"\w+")
+NONE = np.iinfo(np.int64).min
+CACHED_WORDS = 200_000
 
 
-def terms_of(text: str | None) -> Counter:
-    """Terms and their numbers; beginnings of longer words are marked with a star."""
-    found = Counter(_WORD.findall((text or "").lower()))
-    for word, n in list(found.items()):
-        for length in PREFIXES:
-            if len(word) > length:
-                found[word[:length] + "*"] += n
-    return found
+def _hash(term: str) -> bytes:
+    return blake2b(term.encode("utf-8", "replace"), digest_size=8).digest()
+
+
+class TermTable(dict):
+    """By word, the row of ``numbers`` that holds its term and those of its beginnings.
+
+    They are the terms' places in ``terms``, ``NONE`` if not there; without ``terms`` the hashes
+    themselves, even ones of words and odd ones of beginnings.
+    """
+
+    def __init__(self, terms: np.ndarray | None = None):
+        self.terms = terms
+        self.numbers = np.empty((CACHED_WORDS, 1 + len(PREFIXES)), np.int64)
+        self.new: list[bytes] = []
+        self.beginnings: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(_hash(word))
+        for n in PREFIXES:
+            start = word[:n] if len(word) > n else ""
+            if start not in self.beginnings:
+                self.beginnings[start] = _hash(start) if start else bytes(8)
+            self.new.append(self.beginnings[start])
+        row = self[word] = len(self)
+        return row
+
+    def rows(self, words: Iterable[str], size: int) -> np.ndarray:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+            self.beginnings.clear()
+        known = len(self)
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, size)
+        if self.new:
+            found = np.frombuffer(b"".join(self.new), ">i8").astype(np.int64)
+            self.new.clear()
+            none, found = found == 0, found.reshape(-1, 1 + len(PREFIXES)) & ~1
+            found[:, 1:] |= 1
+            if self.terms is not None:
+                at = np.searchsorted(self.terms, found)
+                if len(self.terms):
+                    there = self.terms[np.minimum(at, len(self.terms) - 1)] == found
+                else:
+                    there = np.zeros(found.shape, bool)
+                found = np.where(there, at, NONE)
+            found[none.reshape(found.shape)] = NONE
+            if len(self) > len(self.numbers):
+                more = np.empty((len(self), self.numbers.shape[1]), np.int64)
+                self.numbers = np.concatenate([self.numbers, more])
+            self.numbers[known : len(self)] = found
+        return self.numbers[rows]
+
+
+def terms_of(text: str | None, table: TermTable) -> tuple[np.ndarray, np.ndarray]:
+    """Terms that the table has, in ascending order, and their numbers."""
+    words = Counter(_WORD.findall((text or "").lower()))
+    found = table.rows(words, len(words))
+    counts = np.fromiter(words.values(), np.int64, len(words))
+    row, column = np.nonzero(found != NONE)
+    found, counts = found[row, column], counts[row]
+    if column.any():
+        found, at = np.unique(found, return_inverse=True)
+        return found, np.bincount(at, counts, len(found)).astype(np.int64)
+    order = np.argsort(found)
+    return found[order], counts[order]
 
 
 @dataclass
 class ExampleIndex:
-    """Unit vectors of examples: postings by term, and the largest weight by term and block."""
+    """Unit vectors of examples: by example, and by term as rows of a matrix or as postings."""
 
-    vectors: list[tuple[tuple[int, ...], tuple[float, ...]]]
+    vectors: list[tuple[Iterable[int], Iterable[float]]]
     terms: int
+    size: int = field(init=False)
+    begin: np.ndarray = field(init=False)  # first term of each example
+    term: np.ndarray = field(init=False)
+    exact: np.ndarray = field(init=False)
+    # Made from the above where the index is used.
     start: np.ndarray = field(init=False)  # first posting of each term
     example: np.ndarray = field(init=False)
     weight: np.ndarray = field(init=False)
-    block: np.ndarray = field(init=False)
-    largest: np.ndarray = field(init=False)
+    row: np.ndarray = field(init=False)  # of the matrix, -1 for terms with postings
+    matrix: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        triples = [(t, e, w) for e, v in enumerate(self.vectors) for t, w in zip(*v)]
-        triples.sort(key=lambda x: (x[0], x[1]))
-        term = np.array([t for t, _, _ in triples], np.int64)
-        self.example = np.array([e for _, e, _ in triples], np.int64)
-        self.weight = np.array([w for _, _, w in triples], float)
-        self.block = self.example // BLOCK
-        self.start = np.searchsorted(term, np.arange(self.terms + 1))
-        blocks = -(-len(self.vectors) // BLOCK)
-        self.largest = np.zeros((self.terms, blocks), np.float32)
-        np.maximum.at(self.largest, (term, self.example // BLOCK), self.weight)
-        # Upper bounds stay upper bounds in single precision.
-        self.largest = np.nextafter(self.largest, np.float32(np.inf)) * (self.largest > 0)
+        self.size = len(self.vectors)
+        self.begin = np.zeros(self.size + 1, np.int64)
+        np.cumsum([len(t) for t, _ in self.vectors], out=self.begin[1:])
+        self.term = np.empty(self.begin[-1], np.int32)
+        self.exact = np.empty(self.begin[-1])
+        for e, (t, w) in enumerate(self.vectors):
+            self.term[self.begin[e] : self.begin[e + 1]] = t
+            self.exact[self.begin[e] : self.begin[e + 1]] = w
+        self.vectors = []
+        self._invert()
+
+    def __getstate__(self):
+        return self.terms, self.size, self.begin, self.term, self.exact
+
+    def __setstate__(self, state):
+        self.vectors = []
+        self.terms, self.size, self.begin, self.term, self.exact = state
+        self._invert()
+
+    def _invert(self) -> None:
+        texts = np.bincount(self.term, minlength=self.terms)
+        common = np.argsort(-texts, kind="stable")[:DENSE_TERMS]
+        common = common[texts[common] > max(self.size * DENSE_SHARE, BLOCK)]
+        self.row = np.full(self.terms, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        owner = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(self.begin))
+        self.matrix = np.zeros((len(common), -(-self.size // BLOCK) * BLOCK), np.float32)
+        row = self.row[self.term]
+        dense = row >= 0
+        self.matrix[row[dense], owner[dense]] = self.exact[dense]
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.example, self.weight = owner[rare], self.exact[rare].astype(np.float32)
+        self.start = np.zeros(self.terms + 1, np.int64)
+        np.cumsum(np.where(self.row < 0, texts, 0), out=self.start[1:])
 
     def nearest(self, terms: list[int], weights: list[float], k: int) -> list[tuple[float, int]]:
         """The k most similar examples with similarity above 0, ties to the smaller number."""
-        if not terms or not len(self.vectors):
-            return []
-        bounds = np.asarray(weights) @ self.largest[terms]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        scores = np.zeros(len(self.vectors))
-        at, size, least = 0, FIRST_BLOCKS, 0.0
-        # Blocks in the order of their bounds, twice as many each time.
-        while at < len(order) and bounds[order[at]] >= least - 1e-9:
-            chosen = np.zeros(len(bounds), bool)
-            chosen[order[at : at + size]] = True
-            for t, w in zip(terms, weights):
-                own = slice(self.start[t], self.start[t + 1])
-                there = chosen[self.block[own]]
-                scores[self.example[own][there]] += w * self.weight[own][there]
-            at, size = at + size, 2 * size
-            found = np.flatnonzero(scores)
-            if len(found) >= k:
-                least = np.partition(scores[found], len(found) - k)[len(found) - k]
-        found = np.flatnonzero(scores)
-        similar = np.round(scores[found], 9)
-        best = np.lexsort((found, -similar))[:k]
-        return [(float(similar[i]), int(found[i])) for i in best]
+        return self.nearest_all([(terms, weights)], k)[0]
+
+    def nearest_all(self, queries: list, k: int) -> list[list[tuple[float, int]]]:
+        found = []
+        for at in range(0, len(queries), QUERIES):
+            found += self._nearest(queries[at : at + QUERIES], k)
+        return found
+
+    def _nearest(self, queries: list, k: int) -> list[list[tuple[float, int]]]:
+        if not self.size:
+            return [[] for _ in queries]
+        asked = np.zeros((len(queries), len(self.matrix)), np.float32)
+        queries = [(np.asarray(t, np.int64), np.asarray(w, float)) for t, w in queries]
+        for i, (terms, weights) in enumerate(queries):
+            row = self.row[terms]
+            asked[i, row[row >= 0]] = weights[row >= 0]
+        scores = asked @ self.matrix
+        whole = np.zeros(self.terms)
+        results = []
+        for own, (terms, weights) in zip(scores, queries):
+            rare = self.row[terms] < 0
+            starts, sizes = self.start[terms[rare]], self.start[terms[rare] + 1] - self.start[terms[rare]]
+            single = weights[rare].astype(np.float32)
+            for j in np.flatnonzero(sizes > LONG_POSTINGS).tolist():
+                part = slice(starts[j], starts[j] + sizes[j])
+                own[self.example[part]] += self.weight[part] * single[j]
+            short = sizes <= LONG_POSTINGS
+            starts, sizes, single = starts[short], sizes[short], single[short]
+            ends = np.cumsum(sizes)
+            if len(ends) and ends[-1]:
+                at = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])
+                added = self.weight[at] * np.repeat(single, sizes)
+                own += np.bincount(self.example[at], added, len(own)).astype(np.float32)
+            # At least k examples reach the k-th largest of the blocks' best.
+            best, least = own.reshape(-1, BLOCK).max(1), 0.0
+            if len(best) >= k:
+                least = float(np.partition(best, len(best) - k)[len(best) - k])
+            rounding = (len(terms) + 8) * 2.0**-22
+            near = np.flatnonzero(own > max(least - rounding, 0.0))
+            if len(near) > k:
+                least = float(np.partition(own[near], len(near) - k)[len(near) - k])
+                near = near[own[near] > max(least - rounding, 0.0)]
+            whole[terms] = weights
+            similar = np.array(
+                [
+                    round(float(whole[self.term[a:b]] @ self.exact[a:b]), 9)
+                    for a, b in zip(self.begin[near].tolist(), self.begin[near + 1].tolist())
+                ]
+            )
+            whole[terms] = 0.0
+            chosen = np.lexsort((near, -similar))[:k] if len(near) else []
+            results.append([(float(similar[i]), int(near[i])) for i in chosen if similar[i] > 0])
+        return results
 
 
 @dataclass
 class ToxicityModel:
-    """Vocabulary with weights, examples with their votes, calibrated shares."""
+    """Terms with weights, examples with their votes, calibrated shares."""
 
-    number: dict[str, int]
-    idf: list[float]
+    terms: np.ndarray  # ascending
+    idf: np.ndarray
     index: ExampleIndex
     names: list[str]  # the smallest id of each example
     texts: list[int]
     toxic: list[int]
     steps: np.ndarray
 
-    def vector(self, text: str | None) -> tuple[tuple[int, ...], tuple[float, ...]]:
-        return unit_vector(known_terms(text, self.number), self.idf)
+    def __post_init__(self):
+        self.table = TermTable(self.terms)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
 
     def share(self, near: list[tuple[float, int]]) -> float:
         """Toxic votes by all votes; a vote weighs the more the nearer its example is."""
@@ -128,65 +256,83 @@ class ToxicityModel:
         toxic = [self.toxic[e] / (1.05 - s) for s, e in near]
         return sum(toxic) / sum(votes) if votes else 0.0
 
-    def judge(self, text: str | None, seen: dict) -> tuple[float, list[tuple[float, int]]]:
-        vector = self.vector(text)
-        if vector not in seen:
-            near = self.index.nearest(list(vector[0]), list(vector[1]), NEIGHBOURS)
-            seen[vector] = (self.share(near), near)
-        return seen[vector]
-
-
-def known_terms(text: str | None, number: dict[str, int]) -> tuple[tuple[int, int], ...]:
-    """Numbers and occurrences of the vocabulary's terms, and of the last term, the words at all.
-
-    That one is rounded to a power of two; it makes a toxic word weigh less in a longer text.
-    """
-    found = terms_of(text)
-    known = sorted((number[t], n) for t, n in found.items() if t in number)
-    if not known:
-        return ()
-    words = sum(n for t, n in found.items() if t[-1] != "*")
-    return (*known, (len(number), 1 << round(math.log2(words))))
+    def judge(self, texts: list[str | None], seen: dict) -> list[tuple[float, list[tuple[float, int]]]]:
+        vectors = [unit_vector(*terms_of(t, self.table), self.idf) for t in texts]
+        keys = [(t.tobytes(), w.tobytes()) for t, w in vectors]
+        new = {key: v for key, v in zip(keys, vectors) if key not in seen}
+        for key, near in zip(new, self.index.nearest_all(list(new.values()), NEIGHBOURS)):
+            seen[key] = (self.share(near), near)
+        return [seen[key] for key in keys]
 
 
-def unit_vector(counts, idf) -> tuple[tuple[int, ...], tuple[float, ...]]:
+def unit_vector(terms, counts, idf) -> tuple[np.ndarray, np.ndarray]:
     """(1 + ln tf) * idf at length one; the empty text has the empty vector."""
-    weights = [(1 + math.log(n)) * idf[t] for t, n in counts]
-    length = math.sqrt(sum(w * w for w in weights))
-    return tuple(t for t, _ in counts), tuple(round(w / length, 12) for w in weights)
+    weights = (1 + np.log(np.asarray(counts, float))) * idf[terms]
+    return terms, np.round(weights / math.sqrt(float(weights @ weights) or 1.0), 12)
 
 
 def _share_step(share: float) -> int:
     return min(SHARE_STEPS - 1, int(share * SHARE_STEPS))
 
 
-def _vocabulary(labelled: DataFrame) -> list[str]:
-    """Terms that go with toxic texts, strongest first."""
+def _distinct(rows: DataFrame) -> DataFrame:
+    """Rows with equal sequences of words as one: its texts and toxic ones, on each side of the split."""
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"(?U)\W+", " "))
+    part = F.concat(F.lit("calibration "), F.col("id"))
+    rows = rows.withColumn("calibrates", remainder(part, CALIBRATION_PARTS) == 0)
+    toxic, example = F.col("label").cast("long"), ~F.col("calibrates")
+    counted = rows.groupBy(F.sha2(words, 256).alias("key")).agg(
+        F.first("text").alias("text"),
+        F.min(F.when(example, F.col("id"))).alias("id"),
+        F.count_if(example).alias("n"),
+        F.coalesce(F.sum(F.when(example, toxic)), F.lit(0)).alias("m"),
+        F.count_if("calibrates").alias("calibrating"),
+        F.coalesce(F.sum(F.when(F.col("calibrates"), toxic)), F.lit(0)).alias("calibrating_toxic"),
+    )
+    return new_stage(rows.sparkSession)(counted, "labelled")
+
+
+def _vocabulary(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Words and beginnings that go with toxic texts, ascending; a mark for each.
+
+    Each distinct text counts once, as toxic if half its labels or more say so.
+    """
+    texts = texts.select(
+        "text",
+        (
+            2 * (F.col("m") + F.col("calibrating_toxic")) >= F.col("n") + F.col("calibrating")
+        ).alias("label"),
+    )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-        texts, toxic = Counter(), Counter()
+        found, toxic, size = [], [], 0
+        table = TermTable()
+
+        def summed() -> dict:
+            terms, at = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_inverse=True)
+            labels = np.concatenate([*toxic, np.zeros(0, bool)])
+            n, m = np.bincount(at, minlength=len(terms)), np.bincount(at, labels, len(terms))
+            return {"term": terms, "n": n, "m": m.astype(np.int64)}
+
         for batch in batches:
             for t, y in zip(values(batch, "text"), values(batch, "label")):
-                found = terms_of(t).keys()
-                texts.update(found)
-                if y:
-                    toxic.update(found)
-            if len(texts) > 300_000:
-                yield {"term": list(texts), "n": list(texts.values()), "m": [toxic[t] for t in texts]}
-                texts, toxic = Counter(), Counter()
-        yield {"term": list(texts), "n": list(texts.values()), "m": [toxic[t] for t in texts]}
-
-    counted = map_batches(labelled, count, "term string, n long, m long")
+                found.append(terms_of(t, table)[0])
+                toxic.append(np.full(len(found[-1]), y))
+                size += len(found[-1])
+            if size > 4_000_000:
+                yield summed()
+                found, toxic, size = [], [], 0
+        yield summed()
+
+    counted = map_batches(texts, count, "term long, n long, m long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-    counted = new_stage(labelled.sparkSession)(counted, "terms")
-    total, positive = labelled.agg(
+    counted = new_stage(texts.sparkSession)(counted, "terms")
+    total, positive = texts.agg(
         F.count("*"), F.coalesce(F.sum(F.col("label").cast("long")), F.lit(0))
     ).first()
-    if not positive or positive == total:
-        return []
 
     def part(observed, row, column):
-        expected = row * F.lit(float(column)) / float(total)
+        expected = row * F.lit(float(column)) / float(max(total, 1))
         return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
 
     n, m = F.col("n"), F.col("m")
@@ -196,85 +342,98 @@ def _vocabulary(labelled: DataFrame) -> list[str]:
         + part(positive - m, total - n, positive)
         + part(total - positive - n + m, total - n, total - positive)
     )
-    strong = counted.where((m >= LEAST_TEXTS) & (m >= n * LEAST_TOXIC))
-    strong = strong.where(m * total > n * positive)
     # The ratio that chance exceeds for about one of all the terms.
     least = 2 * math.log(max(counted.count(), 2))
-    strong = strong.withColumn("ratio", ratio).where(F.col("ratio") >= least)
-    return [r["term"] for r in strong.orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect()]
+    strong = (m >= LEAST_TEXTS) & (m >= n * LEAST_TOXIC) & (m * total > n * positive)
+    strong = F.coalesce(strong & (ratio >= least), F.lit(False))
+    marked = counted.select("term", strong.alias("strong"))
+    marked = marked.where("strong").toArrow()
+    terms, strong = (marked.column(c).to_numpy() for c in ("term", "strong"))
+    order = np.argsort(terms)
+    return terms[order], strong[order].astype(bool)
 
 
 def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> ToxicityModel:
     """Fit on ``id, text, label`` rows (label 0 or 1), with document frequencies over ``docs``.
 
     Null labels do not count; texts may be null or empty, rows may repeat. The labelled rows are a
-    bounded number, see ``MAX_LABELLED``. Without examples of both kinds there is no vocabulary and
-    every text has the share 0.
+    bounded number, see ``MAX_LABELLED``. Without labelled texts there are no terms, and every text
+    has the share 0.
     """
+    spark = labelled.sparkSession
     rows = labelled.where("label is not null").select(
         F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"),
         "text",
         F.col("label").cast("boolean").alias("label"),
     )
-    terms = _vocabulary(rows)
-    number = {t: i for i, t in enumerate(terms)}
+    distinct = _distinct(rows)
+    terms, strong = _vocabulary(distinct)
+    numbers = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-        n, found = 0, np.zeros(len(number), np.int64)
+        n, found = 0, np.zeros(len(numbers.value), np.int64)
+        table = TermTable(numbers.value)
         for batch in batches:
             for t in values(batch, "text"):
                 n += 1
-                for i, _ in known_terms(t, number)[:-1]:
-                    found[i] += 1
-        yield {"i": [-1, *range(len(number))], "n": [n, *found.tolist()]}
+                found[terms_of(t, table)[0]] += 1
+        some = np.flatnonzero(found)
+        yield {"i": np.append(some, -1), "n": np.append(found[some], n)}
 
     counted = map_batches(docs.select(F.col(f"`{text}`").alias("text")), frequencies, "i int, n long")
-    found = dict(counted.groupBy("i").agg(F.sum("n")).collect())
-    total = found.get(-1, 0)
-    idf = [math.log((1 + total) / (1 + found.get(i, 0))) + 1 for i in range(len(terms))]
-    idf.append(1.0)  # every text has words
+    counted = counted.groupBy("i").agg(F.sum("n").alias("n")).toArrow()
+    i, n = (counted.column(c).to_numpy() for c in ("i", "n"))
+    total, found = int(n[i < 0].sum()), np.zeros(len(terms))
+    found[i[i >= 0]] = n[i >= 0]
+    idf = (np.log((1 + total) / (1 + found)) + 1) * np.where(strong, TOXIC_WEIGHT, 1.0)
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        table = TermTable(numbers.value)
         for batch in batches:
-            keys = values(batch, "id")
-            counts = [known_terms(t, number) for t in values(batch, "text")]
-            yield {
-                "id": keys,
-                "label": batch.column(batch.schema.get_field_index("label")),
-                "terms": [[i for i, _ in c] for c in counts],
-                "counts": [[n for _, n in c] for c in counts],
-                "calibrates": [
-                    zlib.crc32(b"calibration " + k.encode()) % CALIBRATION_PARTS == 0 for k in keys
-                ],
+            pairs = [terms_of(t, table) for t in values(batch, "text")]
+            yield {c: batch.column(batch.schema.get_field_index(c)) for c in ("id", "n", "m")} | {
+                "terms": [t.astype(np.int32).tobytes() for t, _ in pairs],
+                "counts": [c.astype(np.int32).tobytes() for _, c in pairs],
             }
 
-    schema = "id string, label boolean, terms array<int>, counts array<int>, calibrates boolean"
-    # Equal vectors are one row: what comes to the driver is bounded by MAX_LABELLED.
-    grouped = map_batches(rows, vectors, schema).groupBy("terms", "counts", "calibrates").agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("label").cast("long")).alias("m"),
-        F.min("id").alias("id"),
-    ).collect()
-    grouped.sort(key=lambda r: (r["terms"], r["counts"]))
-    examples = [r for r in grouped if not r["calibrates"] and r["terms"]]
-    units = [unit_vector(list(zip(r["terms"], r["counts"])), idf) for r in examples]
+    schema = "id string, n long, m long, terms binary, counts binary"
+    # One row for each distinct text: what comes to the driver is bounded by MAX_LABELLED.
+    found = map_batches(distinct.where("n > 0"), vectors, schema).toArrow()
+    names, texts, toxic = (found.column(c).to_pylist() for c in ("id", "n", "m"))
+    order = sorted(range(len(names)), key=lambda e: (names[e], texts[e], toxic[e]))
+    units = []
+    for e in order:
+        t, c = (np.frombuffer(found.column(x)[e].as_py(), np.int32) for x in ("terms", "counts"))
+        units.append(unit_vector(t, c, idf))
+    del found
+    kept = [i for i, (t, _) in enumerate(units) if len(t)]
+    order = [order[i] for i in kept]
     model = ToxicityModel(
-        number,
+        terms,
         idf,
-        ExampleIndex(units, len(idf)),
-        [r["id"] for r in examples],
-        [r["n"] for r in examples],
-        [r["m"] for r in examples],
+        ExampleIndex([units[i] for i in kept], len(idf)),
+        [names[e] for e in order],
+        [texts[e] for e in order],
+        [toxic[e] for e in order],
         np.zeros(SHARE_STEPS),
     )
+    del units
+    shared = spark.sparkContext.broadcast(model)
+
+    def shares(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            judged = shared.value.judge(values(batch, "text"), {})
+            yield {"step": [_share_step(s) for s, _ in judged]} | {
+                c: batch.column(batch.schema.get_field_index(c))
+                for c in ("calibrating", "calibrating_toxic")
+            }
+
+    schema = "step int, calibrating long, calibrating_toxic long"
+    steps = map_batches(distinct.where("calibrating > 0"), shares, schema).groupBy("step")
     weight, positive = np.zeros(SHARE_STEPS), np.zeros(SHARE_STEPS)
-    for r in grouped:
-        if r["calibrates"]:
-            vector = unit_vector(list(zip(r["terms"], r["counts"])), idf)
-            near = model.index.nearest(list(vector[0]), list(vector[1]), NEIGHBOURS)
-            step = _share_step(model.share(near))
-            weight[step] += r["n"]
-            positive[step] += r["m"]
+    for step, n, m in steps.agg(F.sum("calibrating"), F.sum("calibrating_toxic")).collect():
+        weight[step], positive[step] = n, m
+    shared.unpersist()
     model.steps = isotonic(weight, positive)
     return model
 
@@ -290,7 +449,7 @@ def score_toxicity(
 
     Evidence holds id, similarity and toxic share of up to three examples. Null and empty texts
     have none. Columns named like the new ones are replaced. The model is broadcast; its size is
-    bounded by ``MAX_LABELLED`` and ``MAX_TERMS``.
+    bounded by the labelled texts, see ``MAX_LABELLED``.
     """
     rows = docs.drop(score, evidence)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -298,8 +457,8 @@ def score_toxicity(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
         known, seen = shared.value, {}
         for batch in batches:
-            judged = [known.judge(t, seen) for t in values(batch, text)]
-            if len(seen) > 100_000:
+            judged = known.judge(values(batch, text), seen)
+            if len(seen) > 5_000:
                 seen.clear()
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             yield columns | {

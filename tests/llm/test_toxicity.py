@@ -48,3 +48,24 @@ def test_awkward_rows(spark):
     nothing = fit_toxicity(labels.limit(0), empty(spark))
     assert {r.score for r in score_toxicity(rows, nothing).collect()} == {0.5}
     assert score_toxicity(empty(spark), nothing).collect() == []
+
+
+def judged(spark, labelled, texts):
+    rows = spark.createDataFrame(labelled, "id long, text string, label int")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = fit_toxicity(rows, docs.select("text").unionAll(rows.select("text")))
+    return {r.doc_id: r for r in score_toxicity(docs, model).collect()}
+
+
+def prose(seed, words=30):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(words))
+
+
+def test_copies_do_not_crowd_out_toxic_words(spark):
+    copied = " ".join(f"copied{i}word" for i in range(3000))
+    labelled = [(i, copied, 1) for i in range(40)]
+    labelled += [(100 + i, f"{prose(i)} scum", 1) for i in range(20)]
+    labelled += [(200 + i, prose(1000 + i), 0) for i in range(60)]
+    found = judged(spark, labelled, [(1, f"{prose(9001)} scum"), (2, copied)])
+    assert found[1].evidence and all(e.toxic == 1.0 for e in found[1].evidence)
