@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples, exact TF-IDF cosine over an inverted index.
 
 Labelled texts with equal sequences of words are one example with its numbers of texts and of toxic
-ones. Terms are words and beginnings of words of ``PREFIXES`` letters, by a hash of 63 bits, that occur in
+ones. Terms are all words of the labelled texts, by a hash of 63 bits; document frequencies are
+counted over all documents. Words, and beginnings of words of ``PREFIXES`` letters, that occur in
 toxic texts significantly more often than in others (log-likelihood ratio over distinct texts), and
-mostly in these; document frequencies are counted over all documents.
+mostly in these, weigh ``TOXIC_WEIGHT`` times as much; beginnings are terms only if they are such.
 Terms of very many examples are scored by a matrix product, the others by their postings, in single
 precision; what can be among the ``NEIGHBOURS`` best by the bound of its rounding is computed anew
 in double precision, so the neighbours are exact. Their votes are weighted by distance; the share of
@@ -293,7 +294,7 @@ def _distinct(rows: DataFrame) -> DataFrame:
 
 
 def _vocabulary(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Words and beginnings that go with toxic texts, ascending; a mark for each.
+    """All words and the beginnings that go with toxic texts, ascending; which of them do so.
 
     Each distinct text counts once, as toxic if half its labels or more say so.
     """
@@ -347,7 +348,7 @@ def _vocabulary(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     strong = (m >= LEAST_TEXTS) & (m >= n * LEAST_TOXIC) & (m * total > n * positive)
     strong = F.coalesce(strong & (ratio >= least), F.lit(False))
     marked = counted.select("term", strong.alias("strong"))
-    marked = marked.where("strong").toArrow()
+    marked = marked.where((F.col("term") % 2 == 0) | F.col("strong")).toArrow()
     terms, strong = (marked.column(c).to_numpy() for c in ("term", "strong"))
     order = np.argsort(terms)
     return terms[order], strong[order].astype(bool)

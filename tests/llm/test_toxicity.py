@@ -69,3 +69,12 @@ def test_copies_do_not_crowd_out_toxic_words(spark):
     labelled += [(200 + i, prose(1000 + i), 0) for i in range(60)]
     found = judged(spark, labelled, [(1, f"{prose(9001)} scum"), (2, copied)])
     assert found[1].evidence and all(e.toxic == 1.0 for e in found[1].evidence)
+
+
+def test_examples_need_no_toxic_word(spark):
+    labelled = [(i, prose(i), int(i < 20)) for i in range(80)]
+    found = judged(spark, labelled, [(i, prose(i)) for i in range(80)])
+    exact = {i: r.evidence[0] for i, r in found.items() if r.evidence and r.evidence[0].similarity == 1}
+    assert all(e.id == str(i) and e.toxic == int(i < 20) for i, e in exact.items())
+    assert {e.toxic for e in exact.values()} == {0.0, 1.0}
+    assert len(exact) > 40  # the examples' part of the labelled texts
