@@ -6,13 +6,17 @@ nothing a run of text begins, where it falls back to nothing the run ends; a run
 text if its sums surge to ``SURGE`` characters, or if it has the highest sum of the page. Menus,
 headers, footers, side bars, notices, adverts, forms, scripts, styles and reader comments are
 known by their elements, roles, and names and leave a gap as wide as a window, so that a run never
-reaches across them. Text in links does not count towards a surge.
+reaches across them. They end where their element does, if need be with an element around them; one
+that holds the only article, or most of the text, is a wrapper and stays. Text in links does not
+count towards a surge.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -37,13 +41,37 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|"
+# Whole names, or all parts of a name with hyphens but for those that say where or of what kind.
+NAME = re.compile(
+    r"(?:ad|ads|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|"
     r"consent|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|"
     r"notification|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|"
-    r"sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
+    r"sponsor\w*|subscribe|toolbar|widget)",
     re.I,
 )
+PLACE = re.compile(
+    r"(?:area|articles|bar|block|bottom|box|buttons?|container|form|global|header|icons?|inner|item|"
+    r"items|left|links?|list|main|media|mobile|page|posts|primary|right|secondary|section|site|slot|"
+    r"top|wrap|wrapper|\d*)",
+    re.I,
+)
+REPLIES = re.compile(r"(?:comments?|commentlist|disqus|replies|respond)", re.I)
+MAIN = ("article", "main")
+# Elements that a start tag ends, and those it does not look beyond.
+_ROWS = frozenset(["table"])
+_ENDS = {
+    "li": (frozenset(["li"]), frozenset("ul ol menu".split())),
+    "dt": (frozenset("dt dd".split()), frozenset(["dl"])),
+    "dd": (frozenset("dt dd".split()), frozenset(["dl"])),
+    "td": (frozenset("td th".split()), _ROWS),
+    "th": (frozenset("td th".split()), _ROWS),
+    "tr": (frozenset("tr td th".split()), _ROWS),
+    "tbody": (frozenset("thead tbody tfoot tr td th".split()), _ROWS),
+    "tfoot": (frozenset("thead tbody tfoot tr td th".split()), _ROWS),
+    "option": (frozenset(["option"]), frozenset()),
+    "body": (frozenset(["head"]), frozenset()),
+}
+_CELLS = frozenset("td th caption button object".split())
 _PIECE = re.compile(
     r"<!--.*?(?:-->|$)"
     rf"|<(?P<raw>{RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|$))"
@@ -58,53 +86,179 @@ _ATTRIBUTE = re.compile(
 )
 
 
-def _unwanted(name: str, more: str) -> bool:
+def _named(token: str) -> bool:
+    parts = re.split(r"[_-]+", token)
+    return any(map(NAME.fullmatch, parts)) and all(
+        NAME.fullmatch(part) or PLACE.fullmatch(part) for part in parts
+    )
+
+
+def _unwanted(name: str, more: str) -> str:
+    """Why an element is unwanted: its name, role, or the one of its names that says so."""
     if name in SKIPPED:
-        return True
-    if "=" not in more or name in ("html", "body", "main", "article"):
-        return False
+        return name
+    if "=" not in more or name in ("html", "body", *MAIN):
+        return ""
     for key, *found in _ATTRIBUTE.findall(more):
         value = "".join(found)
-        if value.lower() in ROLES if key.lower() == "role" else NAMES.search(value):
-            return True
-    return False
+        if key.lower() == "role":
+            if value.lower() in ROLES:
+                return value
+        else:
+            for token in value.split():
+                if _named(token):
+                    return token
+    return ""
+
+
+def _ends(tags: list[tuple]) -> dict[int, int]:
+    """By start tag, the tag at which its element ends; those that nothing ends are left out."""
+    ends, stack = {}, []
+    opened = Counter()
+
+    def close(upto: int, at: int) -> None:
+        while len(stack) > upto:
+            name, i = stack.pop()
+            opened[name] -= 1
+            ends[i] = at
+
+    for i, (_, _, name, closing, m) in enumerate(tags):
+        if not name or name in VOID or (m["more"] or m["more2"] or "").endswith("/"):
+            continue
+        if closing:
+            if opened[name]:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == name:
+                        close(k, i)
+                        break
+                    if name not in BLOCKS and name not in ("body", "html") and stack[k][0] in BLOCKS:
+                        break  # an inline element does not end the blocks inside it
+            continue
+        if name in BLOCKS and opened["p"]:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] == "p":
+                    close(k, i)
+                if k >= len(stack) or stack[k][0] in BLOCKS:
+                    break
+        if name in _ENDS:
+            ended, limits = _ENDS[name]
+            if any(opened[n] for n in ended):
+                lowest = None
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] in limits:
+                        break
+                    if stack[k][0] in ended:
+                        lowest = k
+                        if name not in ("tr", "tbody", "tfoot"):
+                            break
+                if lowest is not None:
+                    close(lowest, i)
+        stack.append((name, i))
+        opened[name] += 1
+    return ends
+
+
+def _unlinked(source: str, tags: list[tuple]) -> list[int]:
+    """Characters of text outside links before each tag, and in all."""
+    before, linked, at, size = [], False, 0, 0
+    for start, end, name, closing, _ in tags:
+        if not linked and start > at:
+            size += len("".join(source[at:start].split()))
+        before.append(size)
+        at = end
+        if name == "a":
+            linked = not closing
+        elif name in BLOCKS and not closing:
+            linked = False
+    return [*before, size + (0 if linked else len("".join(source[at:].split())))]
 
 
-def page_lines(source: str) -> tuple[list[str], list[int]]:
-    """The lines of a page and, for each, the characters outside links."""
+def _skips(source: str, tags: list[tuple]) -> dict[int, int]:
+    """By start tag of each unwanted element, the tag at which it ends, or its own if none does."""
+    ends = _ends(tags)
+    before = None
+    skips, inside, last = {}, [], len(tags)
+    marks = [i for i, t in enumerate(tags) if t[2] in MAIN and not t[3]]
+    for i, (_, _, name, closing, m) in enumerate(tags):
+        if not name or closing or name in VOID:
+            continue
+        while inside and inside[-1][1] <= i:
+            inside.pop()
+        end = ends.get(i, last)
+        if name in MAIN:
+            inside.append((i, end))
+            continue
+        more = m["more"] or m["more2"] or ""
+        why = "" if more.endswith("/") else _unwanted(name, more)
+        if not why:
+            continue
+        if i not in ends:
+            skips[i] = i
+            continue
+        # Against the article around it, or else the page.
+        outer, outer_end = inside[-1] if inside else (-1, last)
+        around = bisect_left(marks, outer_end) - bisect_right(marks, outer)
+        own = bisect_left(marks, end) - bisect_right(marks, i)
+        if around:
+            keeps = own == around
+        else:
+            before = before or _unlinked(source, tags)
+            whole = before[outer_end] - before[max(outer, 0)]
+            keeps = 2 * (before[end] - before[i]) > whole
+            keeps = keeps and not any(map(REPLIES.fullmatch, re.split(r"[_-]+", why)))
+        if name == "head" or not keeps:
+            skips[i] = end
+    return skips
+
+
+def page_lines(source: str) -> tuple[list[str], list[int], list[bool]]:
+    """The lines of a page and, for each, the characters outside links, and if in an article."""
     tags = []
     for m in _PIECE.finditer(source):
         name = (m["name"] or m["name2"] or "").lower()
         tags.append((m.start(), m.end(), name, bool(m["end"] or m["end2"]), m))
-    # Where the last tag that closes an element of each name stands: an unwanted element that is
-    # never closed ends with its own tag.
-    last_end = {t[2]: i for i, t in enumerate(tags) if t[3]}
-    lines, lengths, text, linked = [], [], [], 0
+    skips = _skips(source, tags)
+    lines, lengths, articles, text, linked = [], [], [], [], 0
     inside_link = False
-    skip_name, skip_depth = "", 0
+    skip_end, article = -1, 0
+    boundary = ""  # the tag before, if one of a block and no text since
 
-    def end_line(empty: int = 0) -> None:
-        nonlocal linked
-        line = " ".join(html.unescape("".join(text)).split())
+    def add(line: str, length: int) -> None:
         lines.append(line)
-        lengths.append(max(0, len(line) - linked))
+        lengths.append(length)
+        articles.append(article > 0)
+
+    def end_line(kind: str, empty: int = 0) -> None:
+        nonlocal linked, boundary
+        line = " ".join(html.unescape("".join(text)).split())
+        if line:
+            add(line, max(0, len(line) - linked))
+        else:
+            add("", 0)
         for _ in range(empty):
-            lines.append("")
-            lengths.append(0)
+            add("", 0)
+        boundary = kind
         text.clear()
         linked = 0
 
     at = 0
     for i, (start, end, name, closing, m) in enumerate(tags):
-        if not skip_depth and start > at:
+        if i > skip_end and start > at:
             text.append(source[at:start])
             if inside_link:
                 linked += start - at
         at = end
-        if skip_depth:
-            if name == skip_name:
-                skip_depth += -1 if closing else 1
+        if i < skip_end:
             continue
+        if i == skip_end:
+            if closing:  # by its own end tag, or by that of an element around it
+                skip_end = -1
+                inside_link = False
+                if name in MAIN:
+                    end_line("end", WINDOW)
+                    article = max(0, article - 1)
+                continue
+            skip_end = -1  # by the start of the next
         if not name:
             if m["raw"]:
                 text.append(" ")
@@ -112,38 +266,39 @@ def page_lines(source: str) -> tuple[list[str], list[int]]:
         if closing:
             if name == "a":
                 inside_link = False
-            elif name in ("article", "main"):
-                end_line(WINDOW)
+            elif name in MAIN:
+                end_line("end", WINDOW)
+                article = max(0, article - 1)
             elif name in BLOCKS:
-                end_line()
+                end_line("end")
             continue
         more = m["more"] or m["more2"] or ""
         if name in VOID or more.endswith("/"):
             if name == "br" or name == "hr":
                 text.append(" ")
-        elif _unwanted(name, more):
-            end_line(WINDOW)
-            if last_end.get(name, -1) > i:
-                skip_name, skip_depth = name, 1
+        elif i in skips:
+            end_line("start", WINDOW)
+            skip_end = skips[i] if skips[i] > i else -1
         elif name == "a":
             inside_link = True
-        elif name in ("article", "main"):
+        elif name in MAIN:
             inside_link = False
-            end_line(WINDOW)
+            end_line("start", WINDOW)
+            article += 1
         elif name in BLOCKS:
             inside_link = False
-            end_line()
-    if not skip_depth:
+            end_line("start")
+    if skip_end < 0:
         text.append(source[at:])
-    end_line()
-    return lines, lengths
+    end_line("end")
+    return lines, lengths, articles
 
 
 def main_text(source: str | None) -> str:
     """The main text: blocks in page order, joined by an empty line; empty where there is none."""
     if not source:
         return ""
-    lines, lengths = page_lines(source)
+    lines, lengths, articles = page_lines(source)
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
     filled = [any(lines[i : i + WINDOW]) for i in range(len(lines))]
     runs, start = [], None  # from the surge out of nothing to the dive back to it

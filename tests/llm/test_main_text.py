@@ -41,3 +41,23 @@ def test_rows_nulls_and_clashing_columns(spark):
     got = sorted(map(tuple, found.collect()), key=str)
     assert got == [(1, "", 0), (2, "", 0), (2, "x", 1), (None, "y", 1)]
     assert extract_main_text(pages.limit(0), keys=("page_id",)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "body, expected",
+    [
+        (f"<div><p class=notice>n<p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n\n{LONG}"),
+        (f"<ul><li class=menu-item>m<li>{LONG}</ul><p>{LONG}</p>", f"{LONG}\n\n{LONG}"),
+        (f"<div><div class=sidebar>s</div><div><div class=ad>x</div><p>{LONG}</div></div>", LONG),
+        (f"<div><div><div class=sidebar>side</div><div><p>{LONG}</p></div>", LONG),
+        (f"<section><div class=sidebar>side</section><div><p>{LONG}</p></div>", LONG),
+        (f"<div class='content has-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<div class=no-sidebar><div class=elementor-widget><p>{LONG}</p></div></div>", LONG),
+        (f"<form id=page><nav>n</nav><article><p>{LONG}</p></article></form>", LONG),
+        (f"<form id=page><nav>n</nav><div><p>{LONG}</p></div></form>", LONG),
+        (f"<p>{LONG}</p><div class=comments-area><p>{LONG}</p><p>{LONG}</p></div>", LONG),
+        (f"<main><article><p>{LONG}</p></article></main><aside><article>{LONG * 3}</article></aside>", LONG),
+    ],
+)
+def test_unwanted_parts_end_and_wrappers_stay(body, expected):
+    assert main_text(body) == expected
