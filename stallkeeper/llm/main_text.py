@@ -233,7 +233,8 @@ def page_lines(source: str) -> tuple[list[str], list[int], list[bool]]:
         line = " ".join(html.unescape("".join(text)).split())
         if line:
             add(line, max(0, len(line) - linked))
-        else:
+        # Nested boundaries are one empty line, an element without text is one more.
+        elif (kind == "end" and boundary == "start") or (boundary and (not lines or lines[-1])):
             add("", 0)
         for _ in range(empty):
             add("", 0)
@@ -311,13 +312,13 @@ def main_text(source: str | None) -> str:
     if not runs:
         return ""
     highest = max(peak for peak, _, _ in runs)
-    kept = [
-        line
+    # In an article, or between others that are kept, a short run is part of the text.
+    whole = [
+        peak >= SURGE or peak == highest or any(f and x for f, x in zip(articles[a:b], lines[a:b]))
         for peak, a, b in runs
-        if peak >= SURGE or peak == highest
-        for line in lines[a:b]
-        if line
     ]
+    first, last = whole.index(True), len(whole) - whole[::-1].index(True)
+    kept = [line for _, a, b in runs[first:last] for line in lines[a:b] if line]
     return "\n\n".join(kept)
 
 

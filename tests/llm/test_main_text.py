@@ -61,3 +61,21 @@ def test_rows_nulls_and_clashing_columns(spark):
 )
 def test_unwanted_parts_end_and_wrappers_stay(body, expected):
     assert main_text(body) == expected
+
+
+@pytest.mark.parametrize("wrap", ["article", "main"])
+def test_short_parts_of_an_article_stay(wrap):
+    parts = ["Head", LONG, "Short.", "A quote", LONG, "End"]
+    body = "".join(f"<div><div><div><p>{p}</p></div></div></div>" for p in parts)
+    assert main_text(f"<{wrap}>{body}</{wrap}>") == "\n\n".join(parts)
+    gap = "<div></div>" * 4
+    links = f"<p>see <a href=x>{LONG}</a></p>"
+    assert main_text(f"<{wrap}><h2>Head</h2>{gap}<p>{LONG}</p>{gap}{links}</{wrap}>") == (
+        f"Head\n\n{LONG}\n\nsee {LONG}"
+    )
+
+
+def test_short_parts_between_kept_ones_stay():
+    gap = "<div></div>" * 4
+    body = f"<p>{LONG}</p>{gap}<p>Short.</p>{gap}<p>{LONG}</p>"
+    assert main_text(body) == f"{LONG}\n\nShort.\n\n{LONG}"
