@@ -1,5 +1,8 @@
 """URL rules, and a character language-model ratio for the URLs that no rule fits.
 
+Only host and path are modelled: scheme, query and fragment of a URL are no evidence, so URLs that
+differ only there get one verdict. Below, a URL stands for its host and path.
+
 Two variable-order Markov models, one of accepted and one of rejected URLs, are learnt from the
 URLs that the rules decide. A character is predicted from up to ``ORDER - 1`` characters before
 it; each order is smoothed by the next shorter one,
