@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stallkeeper.llm.bpe import bpe_encode
 from stallkeeper.llm.common import bounded_sample, remainder, table
+from stallkeeper.llm.conversation_repair import repair
 from stallkeeper.llm.decontaminate import find_contamination
 from stallkeeper.llm.exact_topk import top_k
+from stallkeeper.llm.hash_search import nearest
 from stallkeeper.llm.language import fit_language, predict_language
 from stallkeeper.llm.main_text import extract_main_text
 from stallkeeper.llm.near_duplicates import near_duplicates
+from stallkeeper.llm.prefix_trie import numbered, prefix_trie, turn_ids
 from stallkeeper.llm.quality import fit_quality, score_quality
 from stallkeeper.llm.token_count import count_tokens
 from stallkeeper.llm.toxicity import MAX_LABELLED, fit_toxicity, score_toxicity
@@ -34,6 +37,11 @@ TOKEN_LIMIT = 2048
 # Folds by the crc32 of the id: labels of fold 0 are held out, languages of fold 2.
 FOLDS = 5
 LANGUAGE_FOLDS = 4
+# How conversations borrow their openings before the trie is built.
+OPENING_GROUP = 5
+OPENING_TURNS = 9
+# Fixed value: how many cases the damage of conversations has, four of them with a fault.
+DAMAGE_CASES = 20
 QUALITY_LEAST = 0.3
 TOXICITY_LEAST = 0.5
 
@@ -130,6 +138,59 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vectors.where(F.col("vec_id") % 100 == 0)
+    return nearest(asked, vectors, "vec_id", "embedding", k=10)
+
+
+def borrowed_openings(turns: DataFrame) -> DataFrame:
+    """Conversations that begin with the first turns of the first one of their five.
+
+    Of ``turns`` (``conv, place, id, size``); the number of turns is the hash of the id modulo nine.
+    """
+    first = F.col("conv") - F.col("conv") % OPENING_GROUP
+    turns = turns.withColumn("h", F.crc32(F.col("conv").cast("string")) % OPENING_TURNS)
+    keys = turns.select("conv", "h").distinct().withColumn("first", first)
+    openings = turns.where((F.col("conv") == first) & (F.col("place") < OPENING_TURNS))
+    openings = openings.select(F.col("conv").alias("first"), "place", "id", "size")
+    taken = keys.join(openings, "first").where("place <= h")
+    kept = turns.where("place > h").withColumn("part", F.lit(1))
+    rows = taken.withColumn("part", F.lit(0)).select("conv", "part", "place", "id", "size")
+    rows = rows.unionAll(kept.select(*rows.columns))
+    return numbered(rows, F.col("part"), F.col("place"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    turns = turn_ids(rows, "conv_id", "turn", "role", "text")
+    return prefix_trie(borrowed_openings(turns), rows.select("conv_id"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fault in one of four rows, by the hash of id and turn; nulls are one space."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    case = F.crc32(F.concat(told[0], F.lit(":"), told[1])) % DAMAGE_CASES
+    rows = rows.select(
+        "conv_id",
+        "turn",
+        F.when(case == 4, F.lit("user")).otherwise(told[2]).alias("role"),
+        F.when(case == 1, F.lit(""))
+        .when(case == 2, F.regexp_replace(told[3], "[.!?]", ""))
+        .otherwise(told[3])
+        .alias("text"),
+        F.when(case == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))).alias("times"),
+        case.alias("case"),
+    ).where("case <> 0")
+    return rows.select("conv_id", "turn", "role", "text", F.explode("times").alias("time"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    repaired = repair(damaged(rows), rows.select("conv_id"))
+    return repaired.withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
@@ -141,4 +202,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
+    "op11_hash_search": op11_hash_search,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_conversation_repair": op13_conversation_repair,
 }
