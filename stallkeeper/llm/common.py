@@ -6,6 +6,7 @@ import math
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -65,5 +66,14 @@ def map_batches(
     return rows.mapInArrow(run, schema)
 
 
+def sent_along(spark: SparkSession, thing: object) -> Callable[[], object]:
+    """Broadcasts an object of these modules by value; the function gives it, once in each task.
+
+    Only for things of a proven size. ``broadcast`` itself would ask executors for the package.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    return lambda: cloudpickle.loads(packed.value)
+
+
 def values(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()

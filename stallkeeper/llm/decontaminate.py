@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stallkeeper.llm.common import map_batches, new_stage, values
+from stallkeeper.llm.common import map_batches, new_stage, sent_along, values
 
 CELL = 32
 CELLS = 3
@@ -229,10 +229,10 @@ def find_contamination(
         entries.sort(key=lambda e: (str(e[0]), e[1]))
         wanted = frozenset(w for _, t in entries for w in words_of(t))
         frequency, documents = _frequencies(rows.select("text"), wanted)
-        shared = spark.sparkContext.broadcast(ItemIndex(entries, frequency, documents))
+        shared = sent_along(spark, ItemIndex(entries, frequency, documents))
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[dict]:
-            index = shared.value
+            index = shared()
 
             def judged(keys: list, texts: list[list[str]]) -> dict:
                 best: dict[tuple[int, int], tuple[float, int]] = {}

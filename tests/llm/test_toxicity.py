@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cases import awkward, empty
 from stallkeeper.llm.common import table
 from stallkeeper.llm.queries import op5_toxicity
-from stallkeeper.llm.toxicity import ExampleIndex, fit_toxicity, score_toxicity
+from stallkeeper.llm.toxicity import BlockMaxIndex, fit_toxicity, score_toxicity
 
 
 def test_nearest_equals_brute_force():
@@ -16,7 +16,7 @@ def test_nearest_equals_brute_force():
         terms = tuple(sorted(draw.sample(range(40), draw.randint(1, 6))))
         w = np.array([draw.choice((1.0, 2.0, 3.5)) for _ in terms])
         vectors.append((terms, tuple(w / np.linalg.norm(w))))
-    index = ExampleIndex(vectors, 40)
+    index = BlockMaxIndex(vectors, 40)
     dense = np.zeros((700, 40))
     for e, (t, w) in enumerate(vectors):
         dense[e, list(t)] = w
@@ -29,6 +29,76 @@ def test_nearest_equals_brute_force():
         assert [e for _, e in found] == order
 
 
+def test_blocks_are_skipped_and_neighbours_exact():
+    draw = random.Random(11)
+    vectors = []
+    for e in range(1500):  # fifty vocabularies
+        terms = tuple(sorted(draw.sample(range(40 * (e % 50), 40 * (e % 50) + 40), 8)))
+        w = np.array([draw.random() + 0.1 for _ in terms])
+        vectors.append((terms, tuple(w / np.linalg.norm(w))))
+    index = BlockMaxIndex(vectors, 2000)
+    dense = np.zeros((1500, 2000))
+    for e, (t, w) in enumerate(vectors):
+        dense[e, list(t)] = w
+    for t, w in vectors[::25]:
+        exact = np.round(dense[:, list(t)] @ np.array(w), 9)
+        bound = index.bounds(np.array(t), np.array(w))
+        assert (exact[index.number] <= bound[np.arange(1500) // 16] + 1e-9).all()
+        order = sorted((e for e in range(1500) if exact[e] > 0), key=lambda e: (-exact[e], e))[:10]
+        assert [e for _, e in index.nearest(t, w, 10)] == order
+    assert index.opened < 0.2 * 60 * index.blocks
+
+
+def test_scores_equal_brute_force(spark):
+    """Frequencies, weights, neighbours, votes and calibration, counted anew."""
+    import math
+    import zlib
+    from collections import Counter
+
+    from stallkeeper.llm.quality import isotonic
+
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(60)]
+    labelled = [
+        (i, " ".join(draw.choices(words, k=12)) + (" scum" if i % 4 == 0 else ""), int(i % 4 == 0))
+        for i in range(160)
+    ]
+    texts = [(i, " ".join(draw.choices(words, k=10)) + " scum" * (i % 2)) for i in range(40)]
+    found = judged(spark, labelled, texts)
+    everything = [Counter(t.split()) for _, t in texts] + [Counter(t.split()) for _, t, _ in labelled]
+    known = {w for _, t, _ in labelled for w in t.split()}
+    df = Counter(w for c in everything for w in c)
+    idf = {w: (math.log((1 + len(everything)) / (1 + df[w])) + 1) * (10 if w == "scum" else 1) for w in known}
+
+    def vector(t):
+        v = {w: (1 + math.log(n)) * idf[w] for w, n in Counter(t.split()).items() if w in known}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / length for w, x in v.items()}
+
+    parts = [zlib.crc32(f"calibration {i}".encode()) % 4 == 0 for i, _, _ in labelled]
+    examples = sorted((str(i), vector(t), y) for (i, t, y), c in zip(labelled, parts) if not c)
+
+    def near(t):
+        v = vector(t)
+        scored = [(-round(sum(x * e.get(w, 0) for w, x in v.items()), 9), n) for n, (_, e, _) in enumerate(examples)]
+        return [(-s, n) for s, n in sorted(scored)[:10] if s < 0]
+
+    def share(t):
+        votes = [(1 / (1.05 - s), examples[n][2]) for s, n in near(t)]
+        return sum(v * y for v, y in votes) / sum(v for v, _ in votes)
+
+    weight, positive = np.zeros(200), np.zeros(200)
+    for (_, t, y), c in zip(labelled, parts):
+        if c:
+            step = min(199, int(share(t) * 200))
+            weight[step] += 1
+            positive[step] += y
+    steps = isotonic(weight, positive)
+    for i, t in texts:
+        assert [e.id for e in found[i].evidence] == [examples[n][0] for _, n in near(t)[:3]]
+        assert abs(found[i].score - steps[min(199, int(share(t) * 200))]) < 1e-9
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.1"
     labels = table(spark, sf_dir, "labels")
