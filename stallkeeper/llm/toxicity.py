@@ -10,9 +10,11 @@ and three clean ones rejected, with these 87 and none.
 
 *Index*: examples are sorted so that those of like vocabulary are neighbours, and cut into blocks of
 ``BLOCK``. A term has one posting for each block that holds it, with the largest weight in the block. The
-postings of a query's terms add up to a bound of the cosine in each block. Blocks are opened from
-the highest bound on, until no other bound reaches the k-th best cosine so far; only opened blocks are
-scored, by the whole vectors in double precision. The neighbours are exact.
+postings of a query's terms add up to a bound of what they can bring in each block; the few terms that
+carry most weight, and would open every block, add what they bring to each example. Examples are
+opened from the highest bound on, until no bound reaches the k-th best cosine so far; all others, by
+whole blocks mostly, are skipped. Opened ones are scored by all terms in double precision, so the
+neighbours are exact.
 
 Their votes are weighted by distance; the share of toxic votes is calibrated by isotonic regression on
 labelled texts that are not examples. A text without any term has no neighbours and the share 0.
@@ -38,7 +40,7 @@ from stallkeeper.llm.common import map_batches, new_stage, remainder, sent_along
 from stallkeeper.llm.quality import isotonic
 
 NEIGHBOURS = 10
-BLOCK = 16
+BLOCK = 4
 PREFIXES = (4, 5)
 SHARE_STEPS = 200
 CALIBRATION_PARTS = 4
@@ -52,10 +54,15 @@ LEAST_TEXTS = 3
 # words look toxic too; these are the words of clean texts as well.
 LEAST_TOXIC = 0.7
 TOXIC_WEIGHT = 10.0
-# A term in more than this share of the blocks has its bounds as a row of a matrix.
-COMMON_SHARE = 0.125
-# Cosines are compared after rounding to so many digits; bounds are raised by as much.
+# Terms whose weights in all examples are a matrix, and queries that are multiplied with it at once.
+HEAVY_TERMS = 2048
+QUERIES = 64
+# Examples that are scored first, and at once after these.
+FIRST, STEP = 32, 128
+# Cosines are compared after rounding to so many digits; bounds, in single precision, are raised by more
+# than that precision can lose.
 DIGITS = 9
+SLACK = 1e-5
 
 _WORD = re.compile(r"\w+")
 
@@ -109,116 +116,128 @@ def terms_of(text: str | None, table: TermTable) -> tuple[np.ndarray, np.ndarray
 
 @dataclass
 class BlockMaxIndex:
-    """Unit vectors of examples in blocks, and by term the largest weight in each block."""
+    """Unit vectors of examples in blocks, and by term the largest weight in each block.
+
+    The ``HEAVY_TERMS`` with the most weight over all examples would open nearly every block; they are rows
+    of a matrix, with the weight in each example.
+    """
 
     vectors: list[tuple[Iterable[int], Iterable[float]]]
     terms: int
-    opened: int = 0  # blocks whose examples were scored, of all queries
+    opened: int = 0  # examples that were scored, of all queries
     size: int = field(init=False)
+    blocks: int = field(init=False)
     number: np.ndarray = field(init=False)  # of the example at each place
     begin: np.ndarray = field(init=False)  # its first entry in term and weight
     term: np.ndarray = field(init=False)
     weight: np.ndarray = field(init=False)
     rank: np.ndarray = field(init=False)  # of a term by the number of its examples
-    gathered: np.ndarray = field(init=False)
-    start: np.ndarray = field(init=False)  # first posting of each term that is not common
+    start: np.ndarray = field(init=False)  # first posting of each term that is not heavy
     block: np.ndarray = field(init=False)
     largest: np.ndarray = field(init=False)
-    row: np.ndarray = field(init=False)  # of a common term in the matrix, else -1
+    row: np.ndarray = field(init=False)  # of a heavy term in the matrix, else -1
     matrix: np.ndarray = field(init=False)
 
     def __post_init__(self):
         pairs = [(np.asarray(t, np.int64), np.asarray(w, float)) for t, w in self.vectors]
         self.vectors, self.size = [], len(pairs)
-        texts = np.bincount(np.concatenate([np.zeros(0, np.int64), *(t for t, _ in pairs)]), minlength=self.terms)
+        self.blocks = -(-self.size // BLOCK)
+        whole = [np.concatenate([np.zeros(0, x), *(p[i] for p in pairs)]) for i, x in enumerate((np.int64, float))]
+        texts = np.bincount(whole[0], minlength=self.terms)
         # Examples with the same frequent terms are neighbours, so whole blocks miss a query's terms.
         likeness = [tuple(t[np.argsort(-texts[t] * w, kind="stable")[:3]].tolist()) for t, w in pairs]
         self.number = np.array(sorted(range(self.size), key=lambda e: (likeness[e], e)), np.int64)
         pairs = [pairs[e] for e in self.number]
         self.begin = np.zeros(self.size + 1, np.int64)
         np.cumsum([len(t) for t, _ in pairs], out=self.begin[1:])
-        self.term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in pairs)])
+        term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in pairs)])
         self.weight = np.concatenate([np.zeros(0), *(w for _, w in pairs)])
-        # Whole vectors are gathered by these: frequent terms lie together.
+        # Whole vectors are gathered by rank: frequent terms lie together.
         self.rank = np.empty(self.terms, np.int64)
         self.rank[np.argsort(-texts, kind="stable")] = np.arange(self.terms)
-        self.gathered = self.rank[self.term]
-        blocks = -(-self.size // BLOCK)
-        own = np.repeat(np.arange(self.size) // BLOCK, np.diff(self.begin))
-        key = self.term * np.int64(max(blocks, 1)) + own
-        order = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.diff(key[order], prepend=-1))
-        largest = np.maximum.reduceat(self.weight[order], first) if len(first) else np.zeros(0)
-        term, block = np.divmod(key[order][first], max(blocks, 1))
-        spread = np.bincount(term, minlength=self.terms)
-        common = np.flatnonzero(spread > max(blocks * COMMON_SHARE, 8))
+        self.term = self.rank[term]
+        mass = np.bincount(term, self.weight, self.terms)
+        heavy = np.argsort(-mass, kind="stable")[:HEAVY_TERMS]
         self.row = np.full(self.terms, -1, np.int32)
-        self.row[common] = np.arange(len(common))
-        self.matrix = np.zeros((len(common), blocks))
+        self.row[heavy] = np.arange(len(heavy))
+        own = np.repeat(np.arange(self.size), np.diff(self.begin))
+        self.matrix = np.zeros((len(heavy), self.blocks * BLOCK), np.float32)
         dense = self.row[term] >= 0
-        self.matrix[self.row[term[dense]], block[dense]] = largest[dense]
-        self.block, self.largest = block[~dense].astype(np.int32), largest[~dense]
+        self.matrix[self.row[term[dense]], own[dense]] = self.weight[dense]
+        key = term[~dense] * np.int64(max(self.blocks, 1)) + own[~dense] // BLOCK
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.diff(key[order], prepend=-1))
+        rest = self.weight[~dense][order]
+        self.largest = np.maximum.reduceat(rest, first) if len(first) else np.zeros(0)
+        of, block = np.divmod(key[order][first], max(self.blocks, 1))
+        self.block = block.astype(np.int32)
         self.start = np.zeros(self.terms + 1, np.int64)
-        np.cumsum(np.where(self.row < 0, spread, 0), out=self.start[1:])
-
-    @property
-    def blocks(self) -> int:
-        return self.matrix.shape[1]
-
-    def bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What no cosine with an example of each block exceeds."""
-        row = self.row[terms]
-        common = row >= 0
-        bound = weights[common] @ self.matrix[row[common]]
-        start, end = self.start[terms[~common]], self.start[terms[~common] + 1]
+        np.cumsum(np.bincount(of, minlength=self.terms), out=self.start[1:])
+
+    def bounds(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the cosine of each query (row) with each example (by place) does not exceed."""
+        asked = np.zeros((len(queries), len(self.matrix)), np.float32)
+        for own, (terms, weights) in zip(asked, queries):
+            row = self.row[terms]
+            own[row[row >= 0]] = weights[row >= 0]
+        bound = asked @ self.matrix + SLACK
+        for own, (terms, weights) in zip(bound, queries):
+            rare = self.row[terms] < 0
+            start, end = self.start[terms[rare]], self.start[terms[rare] + 1]
+            sizes = end - start
+            ends = np.cumsum(sizes)
+            if len(ends) and ends[-1]:
+                at = np.repeat(start - ends + sizes, sizes) + np.arange(ends[-1])
+                more = self.largest[at] * np.repeat(weights[rare], sizes)
+                own.reshape(-1, BLOCK)[:] += np.bincount(self.block[at], more, self.blocks)[:, None]
+        return bound[:, : self.size]
+
+    def _cosines(self, places: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Of the examples at some places, by all their terms."""
+        self.opened += len(places)
+        start, end = self.begin[places], self.begin[places + 1]
         sizes = end - start
         ends = np.cumsum(sizes)
-        if len(ends) and ends[-1]:
-            at = np.repeat(start - ends + sizes, sizes) + np.arange(ends[-1])
-            more = self.largest[at] * np.repeat(weights[~common], sizes)
-            bound = bound + np.bincount(self.block[at], more, self.blocks)
-        return bound
-
-    def _cosines(self, blocks: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the examples in some blocks."""
-        self.opened += len(blocks)
-        places, parts = [], []
-        for b in blocks.tolist():
-            low, high = b * BLOCK, min((b + 1) * BLOCK, self.size)
-            part = slice(self.begin[low], self.begin[high])
-            product = whole.take(self.gathered[part], mode="clip")
-            product *= self.weight[part]
-            # An example has a term at least, so no sum is of nothing.
-            parts.append(np.add.reduceat(product, self.begin[low:high] - self.begin[low]))
-            places.append(np.arange(low, high))
-        return np.concatenate(places), np.round(np.concatenate(parts), DIGITS)
+        at = np.repeat(start - ends + sizes, sizes) + np.arange(ends[-1])
+        product = whole.take(self.term.take(at, mode="clip"), mode="clip")
+        product *= self.weight.take(at, mode="clip")
+        # An example has a term at least, so no sum is of nothing.
+        return np.round(np.add.reduceat(product, ends - sizes), DIGITS)
 
     def nearest(self, terms, weights, k: int) -> list[tuple[float, int]]:
         """The k most similar examples with similarity above 0, ties to the smaller number."""
-        terms, weights = np.asarray(terms, np.int64), np.asarray(weights, float)
-        if not self.size or not len(terms):
-            return []
-        whole = np.zeros(self.terms)
-        whole[self.rank[terms]] = weights
-        bound = self.bounds(terms, weights) + 10.0**-DIGITS
-        order = np.argsort(-bound, kind="stable")
-        bound = bound[order]
-        numbers, cosines, least, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 2
-        while at < len(order):
-            # Blocks whose bound equals the k-th best may hold a tie.
-            reach = int(np.searchsorted(-bound, -least, "right")) if least else len(order)
-            if at >= reach or bound[at] <= 10.0**-DIGITS:
-                break
-            to = min(at + step, reach)
-            places, found = self._cosines(order[at:to], whole)
-            numbers = np.append(numbers, self.number[places])
-            cosines = np.append(cosines, found)
-            best = np.lexsort((numbers, -cosines))[:k]
-            numbers, cosines = numbers[best], cosines[best]
-            if len(cosines) == k:
-                least = max(float(cosines[-1]), 0.0)
-            at, step = to, step * 2
-        return [(float(c), int(e)) for c, e in zip(cosines, numbers) if c > 0]
+        return self.nearest_all([(np.asarray(terms, np.int64), np.asarray(weights, float))], k)[0]
+
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list]:
+        if not self.size:
+            return [[] for _ in queries]
+        results, whole = [], np.zeros(self.terms)
+        for bound, (terms, weights) in zip(self.bounds(queries), queries):
+            own = self.rank[terms]
+            whole[own] = weights
+            # The k-th best bound is reached by the k-th best cosine or by none: first those, then what is left.
+            open_ = np.flatnonzero(bound > SLACK)
+            if len(open_) > FIRST:
+                open_ = open_[np.argpartition(-bound[open_], FIRST)]
+            numbers, cosines, least, at = np.zeros(0, np.int64), np.zeros(0), 0.0, 0
+            while at < len(open_):
+                now = open_[at : at + FIRST] if not at else open_[at:][:STEP]
+                at += len(now)
+                now = now[bound[now] >= least]
+                if len(now):
+                    numbers = np.append(numbers, self.number[now])
+                    cosines = np.append(cosines, self._cosines(now, whole))
+                    best = np.lexsort((numbers, -cosines))[:k]
+                    numbers, cosines = numbers[best], cosines[best]
+                if len(cosines) == k:
+                    least = max(float(cosines[-1]), 0.0)
+                if at == FIRST:
+                    left = open_[at:]
+                    left = left[bound[left] >= least]
+                    open_ = np.append(open_[:at], left[np.argsort(-bound[left], kind="stable")])
+            whole[own] = 0.0
+            results.append([(float(c), int(e)) for c, e in zip(cosines, numbers) if c > 0])
+        return results
 
 
 @dataclass
@@ -240,15 +259,14 @@ class ToxicityModel:
         return sum(toxic) / sum(votes) if votes else 0.0
 
     def judge(self, texts: list[str | None], seen: dict) -> list[tuple[float, list[tuple[float, int]]]]:
-        out = []
-        for text in texts:
-            terms, weights = unit_vector(*terms_of(text, self.table), self.idf)
-            key = terms.tobytes(), weights.tobytes()
-            if key not in seen:
-                near = self.index.nearest(terms, weights, NEIGHBOURS)
-                seen[key] = self.share(near), near
-            out.append(seen[key])
-        return out
+        vectors = [unit_vector(*terms_of(t, self.table), self.idf) for t in texts]
+        keys = [(t.tobytes(), w.tobytes()) for t, w in vectors]
+        new = list({key: v for key, v in zip(keys, vectors) if key not in seen}.items())
+        for at in range(0, len(new), QUERIES):
+            part = new[at : at + QUERIES]
+            found = self.index.nearest_all([v for _, v in part], NEIGHBOURS)
+            seen |= {key: (self.share(near), near) for (key, _), near in zip(part, found)}
+        return [seen[key] for key in keys]
 
 
 def unit_vector(terms, counts, idf) -> tuple[np.ndarray, np.ndarray]:
