@@ -54,8 +54,9 @@ LEAST_TEXTS = 3
 # words look toxic too; these are the words of clean texts as well.
 LEAST_TOXIC = 0.7
 TOXIC_WEIGHT = 10.0
-# Terms whose weights in all examples are a matrix, and queries that are multiplied with it at once.
+# Terms whose weights in all examples are a matrix, at most so large, and queries that are multiplied with it at once.
 HEAVY_TERMS = 2048
+MATRIX_CELLS = 2**23
 QUERIES = 64
 # Examples that are scored first, and at once after these.
 FIRST, STEP = 32, 128
@@ -152,12 +153,28 @@ class BlockMaxIndex:
         np.cumsum([len(t) for t, _ in pairs], out=self.begin[1:])
         term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in pairs)])
         self.weight = np.concatenate([np.zeros(0), *(w for _, w in pairs)])
+        self._invert(term)
+
+    def __getstate__(self):
+        term = np.argsort(self.rank).astype(np.int32)[self.term]
+        return self.terms, self.number.astype(np.int32), self.begin, term, self.weight
+
+    def __setstate__(self, state):
+        """What the index is made of travels; it is inverted where it is used."""
+        self.terms, self.number, self.begin, term, self.weight = state
+        self.vectors, self.opened, self.size = [], 0, len(self.number)
+        self.blocks = -(-self.size // BLOCK)
+        self._invert(term.astype(np.int64))
+
+    def _invert(self, term: np.ndarray) -> None:
+        texts = np.bincount(term, minlength=self.terms)
         # Whole vectors are gathered by rank: frequent terms lie together.
         self.rank = np.empty(self.terms, np.int64)
         self.rank[np.argsort(-texts, kind="stable")] = np.arange(self.terms)
         self.term = self.rank[term]
         mass = np.bincount(term, self.weight, self.terms)
-        heavy = np.argsort(-mass, kind="stable")[:HEAVY_TERMS]
+        most = min(HEAVY_TERMS, MATRIX_CELLS // max(self.size, 1))
+        heavy = np.argsort(-mass, kind="stable")[:most]
         self.row = np.full(self.terms, -1, np.int32)
         self.row[heavy] = np.arange(len(heavy))
         own = np.repeat(np.arange(self.size), np.diff(self.begin))
