@@ -334,9 +334,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             hubs = left.groupBy("band").agg(hub).select(
                 "band", F.col("hub.node").alias("b"), F.col("hub.component").alias("other")
             )
-            met = left.join(stage(hubs, f"hubs_{depth}_{number}"), "band").where("node <> b")
-            compare(met.where("component <> other"), f"star_{depth}_{number}")
-            left = several(met.drop("b", "other"), f"left_{depth}_{number}")
+            # Members that are in the hub's class already need no row.
+            other = (F.col("own.band") == F.col("hub.band")) & (F.col("component") != F.col("other"))
+            met = left.alias("own").join(stage(hubs, f"hubs_{depth}_{number}").alias("hub"), other)
+            compare(met.select("node", "b"), f"star_{depth}_{number}")
+            left = several(left, f"left_{depth}_{number}")
         if left.isEmpty():
             break
         if last:
