@@ -24,12 +24,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from stallkeeper.llm.common import map_batches, values
 
 # Characters of text whose new words are encoded together, and pieces kept between blocks.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 REMEMBERED = 300_000
 
 # White space for the vocabulary's pattern: that of Python without four separators.
@@ -49,6 +49,16 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(other)) for b in range(256)]
 
 
+def _names(spec: str) -> list[str | None]:
+    """Tokens by their ids, null where there is none."""
+    given = json.loads(spec)
+    found = [*given["model"]["vocab"].items(), *((t["content"], t["id"]) for t in given["added_tokens"])]
+    names: list[str | None] = [None] * (max(i for _, i in found) + 1)
+    for name, i in found:
+        names[i] = name
+    return names
+
+
 class PairIndexEncoder:
     """The merges of a tokenizer file (JSON text) for words with an end mark."""
 
@@ -62,9 +72,6 @@ class PairIndexEncoder:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in given["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in given["added_tokens"]}
         self.size = max([*vocabulary.values(), *self.special.values()]) + 1
-        self.names = [""] * self.size
-        for name, i in [*vocabulary.items(), *self.special.items()]:
-            self.names[i] = name
         self.left = np.array([vocabulary[a] for a, _ in pairs], np.int64)
         self.right = np.array([vocabulary[b] for _, b in pairs], np.int64)
         self.made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
@@ -185,7 +192,7 @@ class _Remembered:
 
     def __init__(self, encoder: PairIndexEncoder):
         self.encoder = encoder
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
     def learn(self, wanted: set[str]) -> None:
         """Encode what is new of the pieces of a block; old pieces go when there are too many."""
@@ -203,29 +210,27 @@ class _Remembered:
         flat, counts = self.encoder.encode_words(list(number))
         flat = flat.astype("<i4")
         raw, ends = flat.tobytes(), np.cumsum(counts).tolist()
-        names = list(map(self.encoder.names.__getitem__, flat.tolist()))
         starts = [0, *ends[:-1]]
         for p, words in zip(new, parts):
-            ids, tokens = [], []
+            ids = []
             for w in words:
                 if type(w) is bytes:
-                    a, b = starts[number[w]], ends[number[w]]
-                    ids.append(raw[4 * a : 4 * b])
-                    tokens += names[a:b]
+                    ids.append(raw[4 * starts[number[w]] : 4 * ends[number[w]]])
                 else:
                     ids.append(w.to_bytes(4, "little"))
-                    tokens.append(self.encoder.names[w])
-            self.known[p] = (ids[0] if len(ids) == 1 else b"".join(ids), " ".join(tokens))
+            self.known[p] = ids[0] if len(ids) == 1 else b"".join(ids)
 
 
 def bpe_encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``ids`` (array of int) and ``decoded`` of every whole text, one row per row.
+    """``key`` and ``ids`` (array of int) of every whole text, one row per row.
 
     ``spec`` is the content of a tokenizer file; it has a fixed size and travels with the job.
     Strings of special tokens become their ids. A null or empty text, or one of white space only,
-    has no ids and decodes to the empty text. Repeated rows give repeated rows; other columns are
-    not read.
+    has no ids. Repeated rows give repeated rows; other columns are not read. A key of the name ``ids`` is
+    not allowed, as it would be two columns.
     """
+    if key == "ids":
+        raise ValueError("the key may not be called ids")
     kind = docs.schema[key].dataType.simpleString()
     narrow = docs.select(f"`{key}`", f"`{text}`")
 
@@ -240,17 +245,15 @@ def bpe_encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "tex
             memory.learn(wanted)
             known = memory.known
             for keys, cut in block:
-                ids, ends, decoded = [], [0], []
+                ids, ends = [], [0]
                 for x in cut:
-                    found = [known[p] for p in x]
-                    joined = b"".join([f[0] for f in found])
+                    joined = b"".join([known[p] for p in x])
                     ids.append(joined)
                     ends.append(ends[-1] + len(joined) // 4)
-                    decoded.append(" ".join([f[1] for f in found if f[1]]))
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 arrays = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
                 arrays = arrays.cast(pa.list_(pa.field("element", pa.int32())))
-                yield {key: keys, "ids": arrays, "decoded": decoded}
+                yield {key: keys, "ids": arrays}
 
         block, chars = [], 0
         for batch in batches:
@@ -263,4 +266,37 @@ def bpe_encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "tex
         if block:
             yield from finished(block)
 
-    return map_batches(narrow, run, f"`{key}` {kind}, ids array<int>, decoded string")
+    return map_batches(narrow, run, f"`{key}` {kind}, ids array<int>")
+
+
+def bpe_decode(rows: DataFrame, spec: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """All columns of ``rows`` and ``decoded``, the text that the ids stand for.
+
+    As the library decodes: the tokens of the ids, special ones too, joined by spaces (the tokenizer has no
+    decoder of its own); ids that no token has, and nulls, are left out. Null ids decode to null, no ids to
+    the empty text. A column named like the new one is replaced.
+    """
+    if json.loads(spec).get("decoder") is not None:
+        raise ValueError("only tokenizers without a decoder are supported")
+    rows = rows.drop(decoded)
+    schema = T.StructType([*rows.schema.fields, T.StructField(decoded, T.StringType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        names = np.array(_names(spec), object)
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index(ids))
+            flat = lists.flatten()
+            there = flat.is_valid().to_numpy(zero_copy_only=False)
+            whole = flat.fill_null(-1).to_numpy().astype(np.int64)
+            there &= (whole >= 0) & (whole < len(names))
+            tokens = names[np.where(there, whole, 0)]
+            there &= tokens != None  # noqa: E711 - by element
+            ends = np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())]).tolist()
+            some = there.all()
+            texts = []
+            for valid, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:]):
+                part = tokens[a:b] if some else tokens[a:b][there[a:b]]
+                texts.append(" ".join(part.tolist()) if valid else None)
+            yield {n: batch.column(i) for i, n in enumerate(batch.schema.names)} | {decoded: texts}
+
+    return map_batches(rows, run, schema)

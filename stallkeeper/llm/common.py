@@ -66,6 +66,25 @@ def map_batches(
     return rows.mapInArrow(run, schema)
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """The name, or the first one made from it that is no column of ``rows`` in any case."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def row_key(key: str, text: str) -> Column:
+    """What rows of equal key and text share, and no others; in the order of keys, null ones last.
+
+    Keys are integers of 64 bits, the text's part is its SHA-256.
+    """
+    shifted = F.col(f"`{key}`").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    place = F.coalesce(F.lpad(shifted.cast("string"), 21, "0"), F.lit("~"))
+    said = F.coalesce(F.sha2(F.col(f"`{text}`"), 256), F.lit(""))
+    return F.concat(place, F.lit(" "), said)
+
+
 def sent_along(spark: SparkSession, thing: object) -> Callable[[], object]:
     """Broadcasts an object of these modules by value; the function gives it, once in each task.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stallkeeper.llm.bpe import bpe_encode
+from stallkeeper.llm.bpe import bpe_decode, bpe_encode
 from stallkeeper.llm.common import bounded_sample, remainder, table
 from stallkeeper.llm.conversation_repair import repair
 from stallkeeper.llm.decontaminate import find_contamination
@@ -129,7 +129,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_encode(table(spark, sf_dir, "documents"), tokenizer_spec())
+    spec = tokenizer_spec()
+    encoded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), spec), spec)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

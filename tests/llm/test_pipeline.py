@@ -18,7 +18,7 @@ def test_stages_and_queries():
         "decontamination",
         "bpe",
     ]
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_whole_run(spark):
@@ -50,3 +50,20 @@ def test_stages_keep_the_columns_and_stand_awkward_rows(spark):
         assert corpus_pipeline.encode(spark, docs, SF).count() == docs.count()
     kept = corpus_pipeline.drop_near_duplicates(spark, odd, SF)
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted("1 2 3 4 5 7 8 None".split())
+
+
+def test_rows_are_judged_by_id_and_text(spark):
+    long_a, long_b = ("word%d " * 60) % tuple(range(60)), ("other%d " * 60) % tuple(range(60))
+    rows = [(1, long_a), (1, long_b), (1, long_b), (2, long_b), (None, long_a), (None, "alone " * 9)]
+    item = table(spark, SF, "benchmark").first()["text"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "'x' AS row_key", "1.5 AS score", "'y' AS evidence")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = sorted((str(r.doc_id), r.text[:5]) for r in kept.collect())
+    assert found == [("1", "other"), ("1", "word0"), ("None", "alone")]
+    leaked = docs.unionAll(docs.limit(1).selectExpr("NULL", f"'{item.replace(chr(39), '')}'", "'x'", "1.5", "'y'"))
+    clean = corpus_pipeline.drop_contaminated(spark, leaked, SF)
+    assert clean.count() == len(rows)
+    judged = corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert {(r.score, r.evidence) for r in judged.collect()} <= {(1.5, "y")}

@@ -5,7 +5,7 @@ from tokenizers import Tokenizer
 
 from cases import awkward, empty
 from stallkeeper.llm import bpe
-from stallkeeper.llm.bpe import bpe_encode
+from stallkeeper.llm.bpe import bpe_decode, bpe_encode
 from stallkeeper.llm.queries import tokenizer_spec
 from stallkeeper.llm.token_count import count_tokens, spliced_count
 
@@ -37,7 +37,7 @@ def test_ids_and_decoding_equal_the_library(spark, docs, library, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_CHARS", 20_000)
     monkeypatch.setattr(bpe, "REMEMBERED", 2_000)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    found = bpe_encode(docs, SPEC).collect()
+    found = bpe_decode(bpe_encode(docs, SPEC), SPEC).collect()
     assert len(found) == len(texts)
     for r in found:
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
@@ -78,6 +78,20 @@ def test_awkward_rows(spark):
     assert bpe_encode(empty(spark), SPEC).collect() == []
 
 
+def test_decoding_of_stored_ids(spark, library):
+    lists = [[320, 1000, 49406], [], None, [None, 320, 10**6, -1], [49407] * 3]
+    rows = spark.createDataFrame(
+        [(i, x, "old") for i, x in enumerate(lists)], "k int, ids array<int>, decoded string"
+    )
+    found = {r.k: r.decoded for r in bpe_decode(rows, SPEC).collect()}
+    for i in (0, 1, 4):
+        assert found[i] == library.decode(lists[i], skip_special_tokens=False)
+    assert found[2] is None and found[3] == library.decode([320])
+    assert bpe_decode(rows.limit(0), SPEC).collect() == []
+    with pytest.raises(ValueError):
+        bpe_encode(rows.select("ids", "decoded"), SPEC, key="ids", text="decoded")
+
+
 def test_another_vocabulary_is_refused():
     import public_tokenizers
 
