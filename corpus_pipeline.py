@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stallkeeper.llm.bpe import bpe_encode
-from stallkeeper.llm.common import new_stage, table
+from stallkeeper.llm.bpe import bpe_decode, bpe_encode
+from stallkeeper.llm.common import free_name, new_stage, row_key, table
 from stallkeeper.llm.decontaminate import find_contamination
 from stallkeeper.llm.near_duplicates import near_duplicates
 from stallkeeper.llm.quality import fit_quality, score_quality
@@ -22,45 +22,61 @@ ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects.
+
+    Each row is judged by its text; null and empty texts too, repeated rows alike. No column is touched.
+    """
+    score = free_name(docs, "score")
     model = fit_quality(labelled(docs, table(spark, sf_dir, "labels"), "quality"))
-    scored = score_quality(docs, model, score="_score")
-    return scored.where(F.col("_score") >= QUALITY_LEAST).select(*docs.columns)
+    scored = score_quality(docs, model, score=score)
+    return scored.where(F.col(score) >= QUALITY_LEAST).select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that are more likely toxic than not."""
+    """Without the documents that are more likely toxic than not.
+
+    Each row is judged by its text; null and empty texts have no neighbours and the score of such, repeated
+    rows are judged alike. No column is touched.
+    """
+    score, evidence = free_name(docs, "score"), free_name(docs, "evidence")
     model = fit_toxicity(labelled(docs, table(spark, sf_dir, "labels"), "toxic"), docs)
-    scored = score_toxicity(docs, model, score="_score", evidence="_evidence")
-    return scored.where(F.col("_score") < TOXICITY_LEAST).select(*docs.columns)
+    scored = score_toxicity(docs, model, score=score, evidence=evidence)
+    return scored.where(F.col(score) < TOXICITY_LEAST).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, the one with the least id, stays.
 
-    Rows without an id are their own class. Repeated rows of one id are one document.
+    A document is a row of an id and a text: rows equal in both are one document, different texts
+    under one id are judged each, and so are texts without an id, which come last in their class. Null texts
+    and texts without a word are no duplicates of others.
     """
-    classes = near_duplicates(docs)
-    lost = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    return kept.where("doc_id is null").unionAll(
-        kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    ).select(*docs.columns)
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    classes = near_duplicates(keyed, key=key)
+    lost = classes.where(F.col(key) != F.col("class_id")).select(key).distinct()
+    kept = keyed.join(lost, key, "left_anti")
+    if not keyed.groupBy(key).count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([key])
+    return kept.select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that contain a test item."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    lost = new_stage(spark)(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """Without the documents that contain a test item, whatever their ids."""
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    found = find_contamination(keyed, table(spark, sf_dir, "benchmark"), key=key)
+    lost = new_stage(spark)(found.select(key).distinct(), "contaminated")
+    return keyed.join(lost, key, "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document that is left; ``decoded`` is what they decode to."""
-    encoded = bpe_encode(docs, tokenizer_spec())
+    """Token ids of each document that is left, a row for each; a null or empty text has none.
+
+    ``decoded_sha256`` is of what the ids decode to.
+    """
+    spec = tokenizer_spec()
+    encoded = bpe_decode(bpe_encode(docs, spec), spec)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
