@@ -19,16 +19,16 @@ from stallkeeper.operators.filters import has_content
 from stallkeeper.operators.geo import geocode
 from stallkeeper.operators.images import with_image_path
 from stallkeeper.operators.merge import merge_by_url
-from stallkeeper.plans.listings import ORDER, build_evidence, finished
-from stallkeeper.plans.stages import stages_in
+from stallkeeper.plans.listings import ORDER, finished, page_evidence, staged_pages
+from stallkeeper.plans.stages import Stage, stages_in
 from stallkeeper.schemas import (
     COUNTERS,
+    DISPLACED,
     EVIDENCE,
     FAILED,
     LISTINGS,
     MANIFEST,
     QUARANTINE,
-    SEEN_TEXT,
 )
 from stallkeeper.sources.archives import (
     archive_glob,
@@ -37,11 +37,13 @@ from stallkeeper.sources.archives import (
     read_archives,
     snapshot_of,
 )
+from stallkeeper.sources.commits import CommitLog
+from stallkeeper.sources.history import TextHistory
 from stallkeeper.sources.manifest import (
+    base_run,
     committed,
     current_runs,
     latest_rows,
-    next_number,
     read_or_empty,
     to_backfill,
     unprocessed,
@@ -62,6 +64,10 @@ STORED = T.StructType(LISTINGS.fields + ENRICHMENT.fields)
 log = logging.getLogger(__name__)
 
 ROW_KEY = ["snapshot", "url"]
+# What errors of the reader say; other errors are not of the archives.
+UNREADABLE = ("FAILED_READ_FILE", "ZlibDecompressor", "incorrect header check", "Unexpected end of input")
+# Generations of the history of texts that a lookup tests one by one.
+GENERATIONS = 16
 ROW_BITS = 33
 
 
@@ -103,8 +109,16 @@ class Inputs:
     hits: DataFrame | None = None
 
 
+class Overtaken(Exception):
+    """Another job has committed files of this run."""
+
+
+def manifest_log(spark: SparkSession, job: Job) -> CommitLog:
+    return CommitLog(spark, job.table("manifest"), MANIFEST)
+
+
 def read_manifest(spark: SparkSession, job: Job) -> DataFrame:
-    return read_or_empty(spark, job.table("manifest"), MANIFEST)
+    return manifest_log(spark, job).read()
 
 
 def stored_schema(manifest: DataFrame) -> T.StructType:
@@ -126,7 +140,8 @@ def read_listings(spark: SparkSession, job: Job) -> DataFrame:
     manifest = read_manifest(spark, job)
     schema = T.StructType(stored_schema(manifest).fields + [T.StructField("run_id", T.StringType())])
     rows = read_or_empty(spark, job.table("listings"), schema)
-    return latest_rows(rows, manifest, ROW_KEY)
+    # A row without a title says that the address has lost its last page.
+    return latest_rows(rows, manifest, ROW_KEY).filter("title IS NOT NULL")
 
 
 def read_run_table(spark: SparkSession, job: Job, name: str) -> DataFrame:
@@ -196,9 +211,10 @@ def extra_columns(rows: DataFrame) -> str | None:
 
 
 def forget_run(spark: SparkSession, job: Job, run_id: str) -> None:
-    """Remove what an attempt that died has left of a run."""
-    for pattern in ("listings/*", "evidence", "seen_text", "quarantine", "counters"):
+    """Remove what an attempt has written; its folders bear its name and no one else's."""
+    for pattern in ("listings/*", "evidence", "displaced", "quarantine", "counters"):
         remove(spark, f"{job.table(pattern)}/run_id={run_id}")
+    remove(spark, f"{job.table('seen_text')}/*/generation={run_id}")
 
 
 def export_csv(spark: SparkSession, job: Job, path: str) -> None:
@@ -206,98 +222,146 @@ def export_csv(spark: SparkSession, job: Job, path: str) -> None:
     write_csv(read_listings(spark, job), path)
 
 
-def commit_run(
-    spark: SparkSession, job: Job, inputs: Inputs, lines: DataFrame, files: DataFrame, run_id: str
-) -> None:
-    """Build and write one run. The manifest comes last: before it, nothing of the run counts.
+def judged_texts(
+    spark: SparkSession, job: Job, pages: DataFrame, manifest: DataFrame, stage: Stage, tag: str
+) -> DataFrame:
+    """The first page of every text of a run beside ``old``, the page that has had the text so far.
 
-    The evidence of every page is kept. The addresses a run has pages of are merged from the
-    evidence of all runs, in the order of file name and line, so the listings do not depend on how
-    the files were cut into runs. What the run moves besides its own pages is the evidence of the
-    addresses it meets again.
+    ``wins`` if there is none, or one of a later file name: which page of a text counts does not depend on
+    when files arrive. Only keys and addresses are moved.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or job.table("_stages")
-    work = f"{shared.rstrip('/')}/{run_id}-{uuid.uuid4().hex[:12]}"  # of this attempt alone
-    stage = stages_in(work)
-    forget_run(spark, job, run_id)
-    manifest = read_manifest(spark, job)
-    history = committed(read_or_empty(spark, job.table("seen_text"), SEEN_TEXT), manifest)
-    counted, counters = observed(
-        lines,
-        has_content(F.col("content")),
-        f"run-{run_id}-{uuid.uuid4().hex[:8]}",
-        malformed=F.col("_corrupt").isNotNull(),
-    )
-    evidence, winners = build_evidence(
-        counted,
-        stage,
-        rules=inputs.rules,
-        frames=inputs.frames,
-        hits=inputs.hits,
-        seen_text=history,
-        run_id=run_id,
-        token=job.token,
-        phrases=job.phrases,
+    place = F.struct(F.col(ORDER), F.coalesce("source_file", F.lit("")).alias("source_file"), "snapshot", "url")
+    first = pages.filter("text_key IS NOT NULL").groupBy("text_key").agg(F.min(place).alias("own"))
+    first = stage(first.withColumn("key", F.unhex("text_key")), f"first{tag}")
+    runs = [r[0] for r in manifest.select(base_run().alias("r")).distinct().collect()]
+    met = TextHistory(spark, job.table("seen_text")).lookup(first, runs, stage, f"maybe{tag}")
+    old = met.groupBy("key").agg(F.min(F.struct("source_file", ORDER, "snapshot", "url")).alias("old"))
+    wins = F.col("old").isNull() | (
+        F.struct("own.source_file", f"own.{ORDER}") < F.struct("old.source_file", f"old.{ORDER}")
     )
-    log.info("run %s: %s", run_id, counters.get)
+    return stage(first.join(old, "key", "left").withColumn("wins", wins), f"judged{tag}")
+
+
+def write_run(
+    spark: SparkSession,
+    job: Job,
+    inputs: Inputs,
+    pages: DataFrame,
+    manifest: DataFrame,
+    stage: Stage,
+    run_id: str,
+    tag: str,
+) -> str | None:
+    """Evidence, texts and listings of a run on top of what ``manifest`` says; its extra columns."""
     this_run = F.lit(run_id).alias("run_id")
-    own = evidence.select("*", this_run)
+    judged = judged_texts(spark, job, pages, manifest, stage, tag)
+    kept = judged.filter("wins")
+    winners = kept.select("text_key", f"own.{ORDER}")
+    lost = stage(kept.filter("old IS NOT NULL").select("old.*").distinct(), f"displaced{tag}")
+    write_partitions(lost.select(*DISPLACED.fieldNames()[:-1], this_run), job.table("displaced"), "run_id")
+    TextHistory(spark, job.table("seen_text")).write(kept.select("key", "own.*"), run_id)
+    own = page_evidence(pages, winners, stages_in_tag(stage, tag), inputs.frames).select("*", this_run)
     # Index hits come from no file.
     own = own.withColumn("source_file", F.coalesce("source_file", F.lit("")))
-    own = stage(own.filter("url IS NOT NULL").select(*EVIDENCE.fieldNames()), "evidence")
+    own = stage(own.filter("url IS NOT NULL").select(*EVIDENCE.fieldNames()), f"evidence{tag}")
     write_partitions(own, job.table("evidence"), "run_id")
     earlier = committed(read_or_empty(spark, job.table("evidence"), EVIDENCE), manifest)
-    met = earlier.join(own.select(*ROW_KEY).distinct(), ROW_KEY, "left_semi")
-    pages = own.unionByName(stage(met, "met_again"))
-    merged = finished(merge_by_url(pages, ["source_file", ORDER], job.url_salts))
-    listings = stage(merged, "listings")
+    gone = committed(read_or_empty(spark, job.table("displaced"), DISPLACED), manifest)
+    gone = gone.select("source_file", ORDER).unionAll(lost.select("source_file", ORDER))
+    asked = own.select(*ROW_KEY).unionAll(lost.select(*ROW_KEY)).distinct()
+    met = earlier.join(asked, ROW_KEY, "left_semi").join(gone, ["source_file", ORDER], "left_anti")
+    whole = own.unionByName(stage(met, f"met_again{tag}"))
+    merged = finished(merge_by_url(whole, ["source_file", ORDER], job.url_salts))
+    listings = stage(merged, f"listings{tag}")
+    empty = lost.select(*ROW_KEY).distinct().join(listings, ROW_KEY, "left_anti")
     if inputs.gazetteer is not None:
         listings = geocode(listings, inputs.gazetteer, ROW_KEY)
     rows = stored(enriched(listings, job, inputs))
+    extra = extra_columns(rows)
+    rows = rows.unionByName(empty, allowMissingColumns=True)
     write_listings(rows.select("*", this_run), job)
-    write_partitions(winners.select("text_key", this_run), job.table("seen_text"), "run_id")
-    bad, figures = line_report(lines, job.token)
-    write_partitions(bad.select("*", this_run), job.table("quarantine"), "run_id")
-    write_partitions(figures.select("*", this_run), job.table("counters"), "run_id")
-    write_partitions(
-        files.select(
-            "snapshot",
-            "source_file",
-            F.lit(job.images).alias("enriched"),
-            F.lit(next_number(manifest)).alias("seq"),
-            F.lit(extra_columns(rows)).cast("string").alias("extra"),
-            this_run,
-        ).coalesce(1),
-        job.table("manifest"),
-        "run_id",
-    )
-    remove(spark, work)
+    return extra
+
+
+def stages_in_tag(stage: Stage, tag: str) -> Stage:
+    return lambda rows, name: stage(rows, f"{name}{tag}")
+
+
+def commit_run(
+    spark: SparkSession, job: Job, inputs: Inputs, lines: DataFrame, chosen: list[Row], stem: str
+) -> str:
+    """Build, write and commit one run; its id. Before its number in the manifest nothing of it counts.
+
+    The evidence of every page is kept. The addresses a run has pages of are merged from the
+    evidence of all runs, in the order of file name and line, and of several pages with one text that
+    of the first file name counts, so the listings depend neither on how the files were cut into
+    runs nor on when they came. If another job commits first, the run is judged and merged anew on
+    top of that; pages are parsed once. If the other job had files of this run, it is given up.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or job.table("_stages")
+    work = f"{shared.rstrip('/')}/{stem}-{uuid.uuid4().hex[:12]}"  # of this attempt alone
+    stage, log_of_runs = stages_in(work), manifest_log(spark, job)
+    try:
+        counted, counters = observed(
+            lines,
+            has_content(F.col("content")),
+            f"run-{stem}-{uuid.uuid4().hex[:8]}",
+            malformed=F.col("_corrupt").isNotNull(),
+        )
+        pages = staged_pages(counted, stage, inputs.rules, inputs.hits, job.token, job.phrases)
+        log.info("run %s: %s", stem, counters.get)
+        bad, figures = line_report(lines, stage, job.token)
+        mine, number = {(row["snapshot"], row["source_file"]) for row in chosen}, 0
+        while True:
+            number += 1
+            run_id = f"{stem}-{uuid.uuid4().hex[:8]}"
+            version = log_of_runs.version()
+            manifest = log_of_runs.read(version)
+            names = manifest.select("snapshot", "source_file")
+            sought = spark.createDataFrame(sorted(mine), names.schema)  # at most the run's files
+            if not names.join(F.broadcast(sought), ["snapshot", "source_file"], "left_semi").isEmpty():
+                raise Overtaken(stem)
+            extra = write_run(spark, job, inputs, pages, manifest, stage, run_id, f"_{number}")
+            for rows, name in ((bad, "quarantine"), (figures, "counters")):
+                write_partitions(rows.select("*", F.lit(run_id).alias("run_id")), job.table(name), "run_id")
+            entry = {"enriched": job.images, "run_id": run_id, "extra": extra}
+            rows = [{"snapshot": s, "source_file": f} | entry for s, f in sorted(mine)]
+            if log_of_runs.put(version + 1, rows):
+                return run_id
+            forget_run(spark, job, run_id)
+    finally:
+        remove(spark, work)
 
 
 def run_files(spark: SparkSession, job: Job, inputs: Inputs, chosen: list[Row]) -> str | None:
-    """One run over pending files (``snapshot, source_file, path``); None if none can be read.
+    """One run over pending files (``snapshot, source_file, path``); None if none is left for it.
 
-    The id depends on the files alone, so a run that died is repeated under its own name. If the
-    read fails and files turn out to be cut or garbage, these are recorded as failed, with nothing
-    of their content, and stay pending; any other error goes to the caller.
+    If files turn out to be cut or garbage, these are recorded as failed, with nothing of their content,
+    and stay pending. Files that another job commits meanwhile are left to it. Any other error goes to
+    the caller.
     """
     while chosen:
         names = "\n".join(row["source_file"] for row in chosen)
-        run_id = hashlib.sha256(f"{job.crawler}\n{names}".encode()).hexdigest()[:16]
+        stem = hashlib.sha256(f"{job.crawler}\n{names}".encode()).hexdigest()[:16]
         files = spark.createDataFrame(
             [(row["snapshot"], row["source_file"], at) for at, row in enumerate(chosen)],
             "snapshot string, source_file string, file_no bigint",
         )
         paths = [row["path"] for row in chosen]
         try:
-            commit_run(spark, job, inputs, ordered_lines(spark, job, files, paths), files, run_id)
-            return run_id
-        except Exception:
+            return commit_run(spark, job, inputs, ordered_lines(spark, job, files, paths), chosen, stem)
+        except Overtaken:
+            left = unprocessed(files, read_manifest(spark, job)).select("source_file").collect()
+            pending = {r[0] for r in left}
+            chosen = [row for row in chosen if row["source_file"] in pending]
+        except Exception as error:
+            if not any(sign in str(error) for sign in UNREADABLE):
+                raise
             failed = broken_archives(spark, paths, job.temporal)
-            errors = [(r[0], r[1], r[2], run_id) for r in failed.collect()]  # at most the run's files
+            errors = [(r[0], r[1], r[2], stem) for r in failed.collect()]  # at most the run's files
             if not errors:
                 raise
-            log.warning("run %s: %d files cannot be read", run_id, len(errors))
+            log.warning("run %s: %d files cannot be read", stem, len(errors))
             write_partitions(spark.createDataFrame(errors, FAILED), job.table("failed"), "run_id")
             broken = {e[1] for e in errors}
             chosen = [row for row in chosen if row["source_file"] not in broken]
@@ -314,19 +378,33 @@ def _runs(spark: SparkSession, job: Job, inputs: Inputs, limit: int | None) -> l
         return []
     # The names of one run at a time come to the driver; files are listed once for all runs.
     runs, after = [], ""
-    pending = stages_in(f"{job.table('_pending')}/{uuid.uuid4().hex[:12]}")(pending, "files")
-    while limit is None or len(runs) < limit:
-        left = pending.filter(F.col("source_file") > after).orderBy("source_file")
-        chosen = left.limit(job.files_per_run).collect()
-        if not chosen:
-            break
-        after = chosen[-1]["source_file"]
-        if run_id := run_files(spark, job, inputs, chosen):
-            runs.append(run_id)
-    remove(spark, job.table("_pending"))
+    own = f"{job.table('_pending')}/{uuid.uuid4().hex[:12]}"
+    try:
+        pending = stages_in(own)(pending, "files")
+        while limit is None or len(runs) < limit:
+            left = pending.filter(F.col("source_file") > after).orderBy("source_file")
+            chosen = left.limit(job.files_per_run).collect()
+            if not chosen:
+                break
+            after = chosen[-1]["source_file"]
+            if run_id := run_files(spark, job, inputs, chosen):
+                runs.append(run_id)
+        compact_history(spark, job)
+    finally:
+        remove(spark, own)
     return runs
 
 
+def compact_history(spark: SparkSession, job: Job) -> bool:
+    """Put the texts of all runs together once they are in many generations."""
+    runs = read_manifest(spark, job).select(base_run().alias("r")).distinct()
+    names = [r[0] for r in runs.collect()]
+    history = TextHistory(spark, job.table("seen_text"))
+    if len(history.generations(names)) <= GENERATIONS:
+        return False
+    return history.compact(names, f"whole-{uuid.uuid4().hex[:12]}")
+
+
 def run_batch(spark: SparkSession, job: Job, inputs: Inputs = Inputs()) -> str | None:
     """One run over the first pending archives; its id, or None when nothing is pending."""
     return next(iter(_runs(spark, job, inputs, 1)), None)
@@ -352,15 +430,10 @@ def backfill(spark: SparkSession, job: Job, inputs: Inputs) -> None:
     renamed = F.concat("run_id", F.lit("-enriched")).alias("run_id")
     write_listings(copies.withColumn("run_id", renamed), job)
     replaced = current_runs(manifest).filter(~F.col("enriched")).select("run_id")
-    write_partitions(
-        manifest.join(replaced, "run_id", "left_semi").select(
-            "snapshot",
-            "source_file",
-            F.lit(True).alias("enriched"),
-            "seq",
-            F.lit(extra_columns(copies)).cast("string").alias("extra"),
-            renamed,
-        ),
-        job.table("manifest"),
-        "run_id",
-    )
+    entries = manifest.join(replaced, "run_id", "left_semi").collect()  # names of files only
+    extra, log_of_runs = extra_columns(copies), manifest_log(spark, job)
+    changed = {"enriched": True, "extra": extra}
+    rows = [r.asDict() | changed | {"run_id": f"{r['run_id']}-enriched"} for r in entries]
+    # Copies keep the places of their runs, so it does not matter what is committed in between.
+    while rows and not log_of_runs.put(log_of_runs.version() + 1, rows):
+        pass

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from stallkeeper.constants import LISTING_URL_TOKEN, PHRASES_TO_FILTER
 from stallkeeper.functions.fields import fetch_time, location_name, row_id
 from stallkeeper.functions.text import repair_mojibake, text_key
-from stallkeeper.operators.dedup import first_of_each_text, not_seen_before
+from stallkeeper.operators.dedup import first_of_each_text
 from stallkeeper.operators.extract import (
     frame_descriptions,
     with_candidates,
@@ -61,14 +61,6 @@ def pages_of_hits(
     return pages.withColumns({**filled, **missing})
 
 
-def first_pages(
-    pages: DataFrame, seen_text: DataFrame | None = None, run_id: str = ""
-) -> DataFrame:
-    """``(text_key, page_order)`` of the pages that stay."""
-    winners = first_of_each_text(pages.select("text_key", ORDER), ORDER)
-    return winners if seen_text is None else not_seen_before(winners, seen_text, run_id)
-
-
 def page_evidence(
     pages: DataFrame,
     winners: DataFrame,
@@ -117,36 +109,33 @@ def finished(listings: DataFrame) -> DataFrame:
     )
 
 
-def build_evidence(
+def staged_pages(
     lines: DataFrame,
     stage: Stage,
     rules: DataFrame | None = None,
-    frames: DataFrame | None = None,
     hits: DataFrame | None = None,
-    seen_text: DataFrame | None = None,
-    run_id: str = "",
     token: str = LISTING_URL_TOKEN,
     phrases: Sequence[str] = PHRASES_TO_FILTER,
-) -> tuple[DataFrame, DataFrame]:
-    """The evidence of a run and the ``(text_key, page_order)`` pairs it adds to the history.
-
-    The parsed pages and the winning pages are staged: both are read more than once, and parsing
-    is the expensive step.
-    """
+) -> DataFrame:
+    """The parsed pages, written once: they are read several times, and parsing is the expensive step."""
     pages = parsed_pages(lines, rules, token, phrases)
     if hits is not None:
         pages = pages.unionByName(pages_of_hits(hits, phrases), allowMissingColumns=True)
-    pages = stage(pages, "pages")
-    winners = stage(first_pages(pages, seen_text, run_id), "winners")
-    return page_evidence(pages, winners, stage, frames), winners
+    return stage(pages, "pages")
 
 
 def build_listings(
-    lines: DataFrame, stage: Stage, url_salts: int = 1, **options
+    lines: DataFrame,
+    stage: Stage,
+    url_salts: int = 1,
+    frames: DataFrame | None = None,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
     """The listings of one run by itself, and its ``(text_key, page_order)`` pairs.
 
-    ``options`` are those of ``build_evidence``.
+    ``options`` are those of ``staged_pages``.
     """
-    evidence, winners = build_evidence(lines, stage, **options)
-    return finished(merge_by_url(stage(evidence, "evidence"), ORDER, url_salts)), winners
+    pages = staged_pages(lines, stage, **options)
+    winners = stage(first_of_each_text(pages.select("text_key", ORDER), ORDER), "winners")
+    evidence = stage(page_evidence(pages, winners, stage, frames), "evidence")
+    return finished(merge_by_url(evidence, ORDER, url_salts)), winners

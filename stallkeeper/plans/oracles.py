@@ -205,6 +205,8 @@ ORACLES: dict[str, str] = {
     "stream_ingest": _JOB,
     "multi_run_merge": _JOB,
     "batch_then_stream": _JOB,
+    "arrival_order": _JOB,
+    "concurrent_commits": _JOB,
     "quarantine": """
         SELECT 'all' AS snapshot, 'malformed' AS reason, '{"url": "cut ' || url AS line FROM pages
         UNION ALL

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,15 +26,18 @@ from stallkeeper.plans import sample_crawl
 from stallkeeper.plans.batch import (
     Inputs,
     Job,
+    pending_files,
     read_listings,
     read_run_table,
     run_all,
     run_batch,
+    run_files,
 )
 from stallkeeper.plans.listings import build_listings, finished, pages_of_hits, parsed_pages
 from stallkeeper.plans.stages import scratch, stages_in
 from stallkeeper.schemas import LISTINGS
 from stallkeeper.sources import archives, index, manifest, tables
+from stallkeeper.sources.history import TextHistory
 from stallkeeper.streaming.dedup import dedup_stream
 from stallkeeper.streaming.ingest import ingest_stream
 
@@ -164,11 +168,11 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _job_result(spark, job)
 
 
-def _in_archives(spark: SparkSession, sf_dir: str) -> tuple[Job, Inputs]:
-    """The sample job with its crawl in eight archives, one file to a run."""
+def _in_archives(spark: SparkSession, sf_dir: str, archives: int = 8) -> tuple[Job, Inputs]:
+    """The sample job with its crawl in several archives, one file to a run."""
     job, inputs = _sample_job(spark, sf_dir)
     root = scratch(spark)
-    pages = sample_crawl.crawl(spark, sf_dir).repartitionByRange(8, "page_order")
+    pages = sample_crawl.crawl(spark, sf_dir).repartitionByRange(archives, "page_order")
     write_archives(
         pages.sortWithinPartitions("page_order"), f"{root}/in/{CRAWLER}/data_pages"
     )
@@ -189,6 +193,25 @@ def batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _job_result(spark, job)
 
 
+def arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last archive comes first: the listings are those of the order of names."""
+    job, inputs = _in_archives(spark, sf_dir, 3)
+    # As many as there are archives, which the query has made.
+    files = sorted(pending_files(spark, job).collect(), key=lambda r: r["source_file"])
+    for row in reversed(files):
+        run_files(spark, job, inputs, [row])
+    return _job_result(spark, job)
+
+
+def concurrent_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs over the same archives and output at the same time."""
+    job, inputs = _in_archives(spark, sf_dir, 3)
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(run_all, spark, job, inputs) for _ in range(2)]:
+            done.result()
+    return _job_result(spark, job)
+
+
 def _broken_lines(spark: SparkSession, sf_dir: str) -> Job:
     """A job over pages, each with a cut line and one that is not base64 behind it."""
     root = scratch(spark)
@@ -628,12 +651,27 @@ def dedup_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents count as texts of an earlier run."""
+    """Labelled documents are texts of earlier runs, in four generations of which three are put together."""
     documents = table(spark, sf_dir, "documents")
-    earlier = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi")
-    seen = earlier.select(texts.text_key(F.col("text")).alias("text_key"), F.lit("old").alias("run_id"))
-    kept = dedup.dedup_text(documents, "doc_id", seen_text=seen, run_id="new")
-    return kept.select("doc_id", "source", "n_chars")
+    folder = scratch(spark)
+    stage, history = stages_in(f"{folder}/work"), TextHistory(spark, f"{folder}/seen")
+    key = F.unhex(texts.text_key(F.col("text"))).alias("key")
+    first = documents.groupBy(key).agg(F.min("doc_id").alias("page_order"))
+    earlier = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi").select(
+        key,
+        F.lit("all").alias("snapshot"),
+        F.col("source").alias("source_file"),
+        F.col("doc_id").alias("page_order"),
+        F.lit(None).cast("string").alias("url"),
+    )
+    names = [f"run-{i}" for i in range(4)]
+    for i, name in enumerate(names):
+        history.write(earlier.filter(F.pmod("page_order", F.lit(4)) == i), name)
+    history.compact(names[:3], "whole")
+    asked = stage(first.filter("key IS NOT NULL"), "asked")
+    seen = history.lookup(asked, names, stage).select("key").distinct()
+    new = asked.join(seen, "key", "left_anti").select(F.col("page_order").alias("doc_id"))
+    return documents.join(new, "doc_id", "left_semi").select("doc_id", "source", "n_chars")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

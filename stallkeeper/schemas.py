@@ -123,8 +123,44 @@ DOMAIN_RULES = T.StructType(
     ]
 )
 
-SEEN_TEXT = T.StructType(
-    [T.StructField("text_key", T.StringType()), T.StructField("run_id", T.StringType())]
+# The history of texts: where a text was seen first, a filter for each bucket, and generations that were
+# put together.
+SEEN = T.StructType(
+    [
+        T.StructField("key", T.BinaryType()),
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("page_order", T.LongType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("generation", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+FILTERS = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("bits", T.BinaryType()),
+        T.StructField("keys", T.LongType()),
+        T.StructField("generation", T.StringType()),
+    ]
+)
+REPLACED = T.StructType(
+    [
+        T.StructField("old", T.StringType()),
+        T.StructField("new", T.StringType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
+# Pages that lost their place to one with the same text and an earlier file name.
+DISPLACED = T.StructType(
+    [
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("page_order", T.LongType()),
+        T.StructField("run_id", T.StringType()),
+    ]
 )
 
 MANIFEST = T.StructType(

@@ -8,6 +8,7 @@ from stallkeeper.constants import LISTING_URL_TOKEN
 from stallkeeper.functions.fields import fetch_time_text, page_html
 from stallkeeper.functions.urls import domain, site_label
 from stallkeeper.operators.filters import has_content, is_listing_url, split_malformed
+from stallkeeper.plans.stages import Stage
 from stallkeeper.schemas import CRAWL
 
 SNAPSHOT_OF_PATH = r"/([^/]+)/[^/]+/data_pages/[^/]+$"
@@ -86,11 +87,14 @@ def broken_archives(spark: SparkSession, paths: list[str], temporal: bool = Fals
     return checked.filter("error IS NOT NULL")
 
 
-def line_report(lines: DataFrame, token: str = LISTING_URL_TOKEN) -> tuple[DataFrame, DataFrame]:
+def line_report(
+    lines: DataFrame, stage: Stage, token: str = LISTING_URL_TOKEN
+) -> tuple[DataFrame, DataFrame]:
     """Quarantined lines (``snapshot, source_file, reason, line``), and figures per file.
 
     A line is malformed if it is not a JSON record, and not base64 if its content cannot be decoded;
     of the latter the address is kept. ``kept`` counts records with content under a listing address.
+    Both come from one read of the archives: what they need of a line is a few bytes, and is staged.
     """
     cut = F.col("_corrupt").isNotNull()
     asked = ~cut & is_listing_url(F.col("url"), token) & has_content(F.col("content"))
@@ -98,14 +102,24 @@ def line_report(lines: DataFrame, token: str = LISTING_URL_TOKEN) -> tuple[DataF
         asked & page_html(F.col("content")).isNull(), "not base64"
     )
     line = F.when(cut, F.col("_corrupt")).otherwise(F.col("url"))
-    marked = lines.select("snapshot", "source_file", reason.alias("reason"), line.alias("line"))
-    figures = lines.groupBy("snapshot", "source_file").agg(
+    facts = lines.select(
+        "snapshot",
+        "source_file",
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), line).alias("line"),
+        F.coalesce(asked, F.lit(False)).alias("asked"),
+        cut.alias("cut"),
+        F.octet_length("content").alias("bytes"),
+    )
+    facts = stage(facts, "line_facts")
+    figures = facts.groupBy("snapshot", "source_file").agg(
         F.count(F.lit(1)).alias("received"),
-        F.count_if(F.coalesce(asked, F.lit(False))).alias("kept"),
-        F.count_if(cut).alias("malformed"),
-        F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).alias("bytes"),
+        F.count_if("asked").alias("kept"),
+        F.count_if("cut").alias("malformed"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     )
-    return marked.filter("reason IS NOT NULL"), figures
+    marked = facts.filter("reason IS NOT NULL")
+    return marked.select("snapshot", "source_file", "reason", "line"), figures
 
 
 def listing_pages(lines: DataFrame, token: str = LISTING_URL_TOKEN) -> DataFrame:

@@ -54,11 +54,6 @@ def base_run(run_id: str = "run_id"):
     return F.regexp_replace(run_id, "-enriched$", "")
 
 
-def next_number(manifest: DataFrame) -> int:
-    """The place of the next run in the order of commits."""
-    return (manifest.agg(F.max("seq")).first()[0] or 0) + 1
-
-
 def rows_of_current_runs(table: DataFrame, manifest: DataFrame) -> DataFrame:
     return table.join(current_runs(manifest).select("run_id"), "run_id", "left_semi")
 

@@ -209,7 +209,7 @@ def test_manifest(spark):
     rows = spark.createDataFrame([("r1",), ("r1-enriched",), ("r2",), ("died",)], "run_id string")
     assert sorted(r[0] for r in manifest.rows_of_current_runs(rows, done).collect()) == ["r1-enriched", "r2"]
     assert [r[0] for r in manifest.to_backfill(rows, done).collect()] == ["r2"]
-    assert sorted(r[0] for r in manifest.committed_texts(rows, done).collect()) == ["r1", "r1-enriched", "r2"]
+    assert sorted(r[0] for r in manifest.committed(rows, done).collect()) == ["r1", "r2"]
 
 
 def test_missing_table_is_empty(spark, folder):
