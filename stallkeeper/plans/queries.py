@@ -896,6 +896,8 @@ QUERIES: dict[str, Query] = {
         stream_ingest,
         multi_run_merge,
         batch_then_stream,
+        arrival_order,
+        concurrent_commits,
         quarantine,
         file_counters,
         crawl_archive_scan,
