@@ -383,6 +383,24 @@ ORACLES: dict[str, str] = {
           FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
         WHERE place = 1 AND seen = 0""",
     "stream_dedup": f"SELECT DISTINCT {_TEXT_KEY} AS text_key FROM documents",
+    "geocode_hierarchy": """
+        WITH RECURSIVE places AS (
+          SELECT 'r' || r_regionkey AS id, NULL::VARCHAR AS parent FROM region
+          UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
+          UNION ALL SELECT 's' || s_suppkey, CASE s_suppkey % 20 WHEN 0 THEN 's' || s_suppkey
+            WHEN 1 THEN 'gone' ELSE 'n' || s_nationkey END FROM supplier
+          UNION ALL SELECT 'c' || c_custkey, 's' || c_custkey % 120 FROM customer
+        ), up AS (
+          SELECT id, id AS at, 0::BIGINT AS levels FROM places
+          UNION ALL
+          SELECT up.id, q.id, up.levels + 1 FROM up JOIN places p ON p.id = up.at
+          JOIN places q ON q.id = p.parent WHERE up.levels < 8
+        ), tops AS (
+          SELECT up.* FROM up JOIN places p ON p.id = up.at
+          WHERE p.parent IS NULL OR p.parent NOT IN (SELECT id FROM places)
+        )
+        SELECT places.id AS place_id, tops.at AS top, tops.levels
+        FROM places LEFT JOIN tops ON tops.id = places.id""",
     "geocode": """
         SELECT s_suppkey,
                CASE s_suppkey % 5 WHEN 0 THEN n_name

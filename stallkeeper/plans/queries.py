@@ -717,6 +717,36 @@ def geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.geocode(rows, places, ["s_suppkey"])
 
 
+def _place_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers below suppliers, nations and regions; some suppliers below themselves or below no place."""
+
+    def place(kind: str, key: Column) -> Column:
+        return F.concat(F.lit(kind), key.cast("string"))
+
+    supplier, number = F.col("s_suppkey"), F.col("s_suppkey") % 20
+    above = F.when(number == 0, place("s", supplier)).when(number == 1, F.lit("gone"))
+    return (
+        table(spark, sf_dir, "region")
+        .select(place("r", F.col("r_regionkey")).alias("place_id"), F.lit(None).cast("string").alias("parent_id"))
+        .unionAll(table(spark, sf_dir, "nation").select(place("n", F.col("n_nationkey")), place("r", F.col("n_regionkey"))))
+        .unionAll(
+            table(spark, sf_dir, "supplier").select(
+                place("s", supplier), above.otherwise(place("n", F.col("s_nationkey")))
+            )
+        )
+        .unionAll(
+            table(spark, sf_dir, "customer").select(
+                place("c", F.col("c_custkey")), place("s", F.col("c_custkey") % 120)
+            )
+        )
+    )
+
+
+def geocode_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country of a place is the place without a parent above it."""
+    return geo.top_places(_place_tree(spark, sf_dir), stages_in(scratch(spark)))
+
+
 def image_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     url = F.concat(F.lit("https://www.example.com/itm/"), F.col("p_partkey"))
@@ -937,6 +967,7 @@ QUERIES: dict[str, Query] = {
         dedup_history,
         stream_dedup,
         geocode,
+        geocode_hierarchy,
         image_manifest,
         run_counters,
         classify_text,
