@@ -9,7 +9,9 @@ from stallkeeper.operators.lookup import lookup
 from stallkeeper.plans.stages import Stage
 
 
-def resolve_locations(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
+def resolve_locations(
+    locations: DataFrame, gazetteer: DataFrame, stage: Stage | None = None
+) -> DataFrame:
     """``location`` to place, for distinct locations: the first comma part that resolves wins."""
     parts = locations.select(
         "location", F.posexplode(F.split("location", ", ")).alias("pos", "part")
@@ -17,7 +19,7 @@ def resolve_locations(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     places = gazetteer.select(
         F.col("name").alias("part"), F.struct("name", "lat", "lon", "country").alias("place")
     )
-    hits = lookup(parts, places, "part", ["location", "pos"]).filter(F.col("place").isNotNull())
+    hits = lookup(parts, places, "part", ["location", "pos"], stage=stage, name="places").filter(F.col("place").isNotNull())
     best = hits.groupBy("location").agg(F.min(F.struct("pos", "place")).alias("best"))
     return best.select(
         "location",
@@ -28,11 +30,14 @@ def resolve_locations(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     )
 
 
-def geocode(rows: DataFrame, gazetteer: DataFrame, row_key: list[str]) -> DataFrame:
+def geocode(
+    rows: DataFrame, gazetteer: DataFrame, row_key: list[str], stage: Stage | None = None
+) -> DataFrame:
     """Add ``loc_name, lat, lon, country``. Only the distinct locations meet the gazetteer."""
     named = rows.withColumn("location", location_name(F.col("location")))
     distinct = named.select("location").filter(F.col("location") != "").distinct()
-    return lookup(named, resolve_locations(distinct, gazetteer), "location", row_key)
+    resolved = resolve_locations(distinct, gazetteer, stage)
+    return lookup(named, resolved, "location", row_key, stage=stage, name="locations")
 
 
 def top_places(places: DataFrame, stage: Stage, key: str = "place_id", parent: str = "parent_id") -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from stallkeeper.plans.stages import Stage
+
 # Up to this many measured bytes a lookup table is broadcast; beyond it the join is salted.
 BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 16
@@ -34,6 +36,8 @@ def lookup(
     salts: int = SALTS,
     broadcast_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
+    stage: Stage | None = None,
+    name: str = "lookup",
 ) -> DataFrame:
     """Left join ``rows`` to ``table`` on ``key``; ``table`` has one row per key.
 
@@ -42,13 +46,18 @@ def lookup(
     repeated ``salts`` times and their rows spread over the salts by a hash of ``row_key``; all other
     keys are joined plainly. Rows without a key are spread over all tasks. Of ``n`` rows at most
     ``n / hot_rows`` keys are hot, and those are few enough to be broadcast to both sides.
-    ``broadcast_bytes=0`` skips the measuring, which reads ``table`` once.
+    ``broadcast_bytes=0`` skips the measuring, which reads ``table`` once. With ``stage`` the table and the
+    hot keys are written under ``name`` first, so that what they are made of is computed once.
     """
+    if stage is not None:
+        table = stage(table, f"{name}_table")
     if broadcast_bytes != 0 and small_enough(table, broadcast_bytes):
         return rows.join(F.broadcast(table), key, "left")
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.filter((F.col("_rows") > hot_rows) & F.col(key).isNotNull())
     hot = hot.select(key, F.lit(salts).alias("_salts"))
+    if stage is not None:
+        hot = stage(hot, f"{name}_hot")
     row_hash = F.xxhash64(*row_key)
     marked = rows.join(F.broadcast(hot), key, "left")
     salted = marked.withColumn(

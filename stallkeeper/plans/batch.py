@@ -179,13 +179,17 @@ def ordered_lines(spark: SparkSession, job: Job, files: DataFrame, paths: list[s
     return ordered.repartition(job.spread) if job.spread else ordered
 
 
-def enriched(listings: DataFrame, job: Job, inputs: Inputs) -> DataFrame:
+def enriched(
+    listings: DataFrame, job: Job, inputs: Inputs, stage: Stage | None = None
+) -> DataFrame:
     """Image paths and classifier columns, as far as the job asks for them."""
     if job.images:
         if inputs.fetched_images is None:
             raise ValueError("the image step needs fetched_images")
         bucket = f"images-{job.image_date}" if job.image_date else None
-        listings = with_image_path(listings, inputs.fetched_images, ROW_KEY, bucket)
+        listings = with_image_path(
+            listings, inputs.fetched_images, ROW_KEY, bucket, stage=stage
+        )
     return run_task(listings, job.task, inputs.classifier, inputs.scorer, inputs.models)
 
 
@@ -275,8 +279,8 @@ def write_run(
     listings = stage(merged, f"listings{tag}")
     empty = lost.select(*ROW_KEY).distinct().join(listings, ROW_KEY, "left_anti")
     if inputs.gazetteer is not None:
-        listings = geocode(listings, inputs.gazetteer, ROW_KEY)
-    rows = stored(enriched(listings, job, inputs))
+        listings = geocode(listings, inputs.gazetteer, ROW_KEY, stages_in_tag(stage, tag))
+    rows = stored(enriched(listings, job, inputs, stages_in_tag(stage, tag)))
     extra = extra_columns(rows)
     rows = rows.unionByName(empty, allowMissingColumns=True)
     write_listings(rows.select("*", this_run), job)
