@@ -11,8 +11,9 @@ def components(links: DataFrame, stage: Callable[[DataFrame, str], DataFrame], n
     """``node, component`` of every node of the links ``a, b``; a component is its least node.
 
     The star operations (Kiveris et al., Connected Components in MapReduce and Beyond) rewire links
-    towards the least neighbour until every node hangs on its component's least node. Neighbours
-    are reduced to their minimum before the shuffle, so no node's neighbours meet in one task; the
+    towards the least neighbour until every node hangs on its component's least node. The minimum of
+    a node's neighbours combines before the shuffle; the join that brings it back to the links is by the node,
+    so the links of a star's centre (two numbers each) meet in one task unless adaptive execution splits it. The
     iteration writes the links of each round to shared storage.
     """
     a, b = F.col("a"), F.col("b")

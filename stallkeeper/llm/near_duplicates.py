@@ -17,12 +17,12 @@ Texts that share no more than common passages, lines or words drop out, however
 
 *Pairs*: equal texts are one text first. A bucket links its members to its most central one (whose
 bands are the most frequent), which is a pair per member; members that are verified to be in one
-class need no further comparison. After that, the members of buckets that still hold
-several classes are sketched anew with eight times the slots, which leaves only texts with a similarity very
-near the threshold in buckets. Of these, all sketches in different classes are compared: buckets
-that share members form a group, a group is cut into blocks of about ``BLOCK`` members, and each two
-blocks of a group meet in a task, which passes on only the pairs whose sketches agree. So every pair
-of a bucket is compared or already in one class, without any cap.
+class need no further comparison. After that, the members of buckets that still hold several classes
+are sketched anew with eight times the slots and in bands of four, which leaves only texts with a
+similarity very near the threshold in buckets. Of these, all sketches in different classes are
+compared: buckets that share members form a group, a group is cut into blocks of about ``BLOCK``
+members, and each two blocks of a group meet in a task, which passes on only the pairs whose sketches
+agree. So every pair of a bucket is compared or already in one class, without any cap.
 
 *Verification* compares the sketches, then the whole texts exactly.
 """
@@ -44,24 +44,25 @@ from stallkeeper.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-PER_BAND = 2
+SALTS = 32
 
 
 @dataclass(frozen=True)
 class Level:
-    """Fineness of a sketch, and the rounds of comparison with hubs on its buckets."""
+    """Fineness of a sketch, slots per band, and the rounds of comparison with hubs on its buckets."""
 
     slots: int
+    per_band: int
     stars: int
 
     @property
     def bands(self) -> int:
-        return self.slots // PER_BAND
+        return self.slots // self.per_band
 
     @property
     def least_bands(self) -> int:
         """Fewer bands agree about once in 100,000 pairs at the threshold."""
-        p = SIMILARITY**PER_BAND
+        p = SIMILARITY**self.per_band
         return math.floor(self.bands * p - 4.4 * math.sqrt(self.bands * p * (1 - p)))
 
     @property
@@ -70,7 +71,7 @@ class Level:
         return math.floor(self.slots * p - 4.5 * math.sqrt(self.slots * p * (1 - p)))
 
 
-LEVELS = (Level(128, 1), Level(1024, 1))
+LEVELS = (Level(128, 2, 1), Level(1024, 4, 1))
 BLOCK = 128
 
 _WORD = re.compile(r"\w+")
@@ -168,7 +169,7 @@ def _sketched(rows: DataFrame, slots: int) -> DataFrame:
 
 def _buckets(nodes: DataFrame, level: Level) -> DataFrame:
     """``band, node, central``: the rare bands of every node that can have a partner."""
-    width = 4 * PER_BAND
+    width = 4 * level.per_band
     places = F.sequence(F.lit(0), F.lit(level.bands - 1))
     bands = F.transform(
         places, lambda i: F.xxhash64(i, F.substring("sketch", i * width + 1, F.lit(width)))
@@ -295,7 +296,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sketched = stage(_sketched(rows, LEVELS[0].slots), "sketched")
     known = sketched.where("node is not null")
     nodes = known.groupBy("node").agg(F.min("k").alias("k"), F.first("sketch").alias("sketch"))
-    nodes = stage(nodes, "nodes")
+    nodes = texts_once = stage(nodes, "nodes")
     links, classes = None, None
 
     def several(members: DataFrame, name: str) -> DataFrame:
@@ -341,13 +342,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             break
         if last:
             compare(_alike_in_blocks(left, nodes, level, stage), "rest")
-    whole = known.select("k", "node")
     if classes is not None:
-        whole = whole.join(classes, "node", "left")
+        # Per text, not per row; the members of a class are dealt over salts.
+        salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
+        members = texts_once.select("node", "k").join(classes, "node").withColumn("salt", salt)
+        parts = members.groupBy("component", "salt").agg(F.min("k").alias("k"))
+        parts = stage(parts, "class_parts")
+        least = stage(parts.groupBy("component").agg(F.min("k").alias("class_id")), "class_ids")
+        named = stage(parts.drop("k").join(least, "component"), "class_salts")
+        linked = members.join(named, ["component", "salt"]).select("node", "class_id")
+        own = texts_once.select("node", "k").join(linked, "node", "left")
+        own = own.select("node", F.coalesce("class_id", "k").alias("class_id"))
     else:
-        whole = whole.withColumn("component", F.lit(None).cast("binary"))
-    whole = whole.withColumn("component", F.coalesce("component", "node"))
-    least = whole.groupBy("component").agg(F.min("k").alias("class_id"))
-    whole = whole.join(least, "component").select("k", "class_id")
+        own = texts_once.select("node", F.col("k").alias("class_id"))
+    whole = known.select("k", "node").join(stage(own, "classes_of_texts"), "node").select("k", "class_id")
     alone = sketched.where("node is null").select("k", F.col("k").alias("class_id"))
     return whole.unionAll(alone).withColumnRenamed("k", key)
