@@ -467,6 +467,30 @@ ORACLES: dict[str, str] = {
                           + (length(t) - length(replace(t, 'que', ''))) // 3)::INT AS matches
           FROM (SELECT doc_id, lower(text) AS t FROM documents))
         WHERE matches > 0 ORDER BY matches DESC, doc_id LIMIT 20""",
+    "ranked_search": r"""
+        WITH cut AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words
+                     FROM documents),
+        whole AS (SELECT count(*) AS n, sum(len(words)) / count(*) AS mean FROM cut),
+        asked AS (SELECT DISTINCT unnest(first_words) AS word
+                  FROM (SELECT words[1:8] AS first_words FROM cut ORDER BY doc_id LIMIT 1)),
+        found AS (SELECT doc_id, asked.word, len(words) AS length, count(*) AS times
+                  FROM (SELECT doc_id, words, unnest(words) AS word FROM cut) AS listed JOIN asked USING (word)
+                  GROUP BY doc_id, asked.word, len(words)),
+        holders AS (SELECT word, count(*) AS holders FROM found GROUP BY word)
+        SELECT doc_id, round(sum(ln(1 + (n - holders + 0.5) / (holders + 0.5)) * times * 2.2
+                                 / (times + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score,
+               count(*)::INT AS matched
+        FROM found JOIN holders USING (word), whole
+        GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 20""",
+    "phrase_search": r"""
+        WITH cut AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words
+                     FROM documents),
+        asked AS (SELECT words[1] AS one, words[2] AS two FROM cut ORDER BY doc_id LIMIT 1),
+        placed AS (SELECT doc_id, unnest(list_filter(range(1, len(words)),
+                            lambda i: words[i] = one AND words[i + 1] = two)) AS place
+                   FROM cut, asked)
+        SELECT doc_id, count(*)::INT AS occurrences, (min(place) - 1)::INT AS first_position
+        FROM placed GROUP BY doc_id""",
     "random_search": """
         SELECT doc_id FROM documents ORDER BY md5(doc_id || '~42'), doc_id LIMIT 20""",
     "vector_search": """

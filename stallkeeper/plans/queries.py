@@ -22,6 +22,7 @@ from stallkeeper.operators import (
 )
 from stallkeeper.operators.merge import merge_by_url, merge_page
 from stallkeeper.operators.parse import parse_pages
+from stallkeeper.operators.text_index import TextIndex
 from stallkeeper.plans import sample_crawl
 from stallkeeper.plans.batch import (
     Inputs,
@@ -886,6 +887,28 @@ def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "matches")
 
 
+def _indexed_documents(spark: SparkSession, sf_dir: str) -> tuple[TextIndex, list[str]]:
+    """All documents, indexed by two runs, and the first eight words of the one with the least id."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    index = TextIndex(spark, scratch(spark))
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    index.add(documents.filter(english), "english")
+    index.add(documents.filter(~english), "other")
+    first = documents.agg(F.min_by("text", "doc_id")).first()[0]
+    return index, index.query_words(first)[:8]
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, words = _indexed_documents(spark, sf_dir)
+    return index.ranked(" ".join(words), limit=20).withColumnRenamed("key", "doc_id")
+
+
+def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds the first two words of the first document in a row."""
+    index, words = _indexed_documents(spark, sf_dir)
+    return index.phrase(" ".join(words[:2])).withColumnRenamed("key", "doc_id")
+
+
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.random_search(table(spark, sf_dir, "documents"), "doc_id").select("doc_id")
 
@@ -982,6 +1005,8 @@ QUERIES: dict[str, Query] = {
         topics,
         label_sample,
         keyword_search,
+        ranked_search,
+        phrase_search,
         random_search,
         vector_search,
         label_export,

@@ -136,6 +136,17 @@ SEEN = T.StructType(
         T.StructField("bucket", T.IntegerType()),
     ]
 )
+# The same for addresses: which runs have evidence of one.
+ADDRESSES = T.StructType(
+    [
+        T.StructField("key", T.BinaryType()),
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("generation", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
 FILTERS = T.StructType(
     [
         T.StructField("bucket", T.IntegerType()),
@@ -152,6 +163,25 @@ REPLACED = T.StructType(
     ]
 )
 
+# The inverted index: where a word stands in a document, and how much a generation holds.
+POSTINGS = T.StructType(
+    [
+        T.StructField("word", T.StringType()),
+        T.StructField("key", T.LongType()),
+        T.StructField("positions", T.ArrayType(T.IntegerType())),
+        T.StructField("length", T.IntegerType()),
+        T.StructField("generation", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+TOTALS = T.StructType(
+    [
+        T.StructField("documents", T.LongType()),
+        T.StructField("words", T.LongType()),
+        T.StructField("generation", T.StringType()),
+    ]
+)
+
 # Pages that lost their place to one with the same text and an earlier file name.
 DISPLACED = T.StructType(
     [
