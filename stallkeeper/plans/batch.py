@@ -22,6 +22,7 @@ from stallkeeper.operators.merge import merge_by_url
 from stallkeeper.plans.listings import ORDER, finished, page_evidence, staged_pages
 from stallkeeper.plans.stages import Stage, stages_in
 from stallkeeper.schemas import (
+    ADDRESSES,
     COUNTERS,
     DISPLACED,
     EVIDENCE,
@@ -218,7 +219,8 @@ def forget_run(spark: SparkSession, job: Job, run_id: str) -> None:
     """Remove what an attempt has written; its folders bear its name and no one else's."""
     for pattern in ("listings/*", "evidence", "displaced", "quarantine", "counters"):
         remove(spark, f"{job.table(pattern)}/run_id={run_id}")
-    remove(spark, f"{job.table('seen_text')}/*/generation={run_id}")
+    for history in ("seen_text", "addresses"):
+        remove(spark, f"{job.table(history)}/*/generation={run_id}")
 
 
 def export_csv(spark: SparkSession, job: Job, path: str) -> None:
@@ -226,6 +228,36 @@ def export_csv(spark: SparkSession, job: Job, path: str) -> None:
     write_csv(read_listings(spark, job), path)
 
 
+def base_runs(manifest: DataFrame) -> list[str]:
+    return [r[0] for r in manifest.select(base_run().alias("r")).distinct().collect()]
+
+
+def histories(spark: SparkSession, job: Job) -> tuple[TextHistory, TextHistory]:
+    """Of texts, and of the addresses that runs have evidence of."""
+    return TextHistory(spark, job.table("seen_text")), TextHistory(spark, job.table("addresses"), ADDRESSES)
+
+
+def with_address_key(rows: DataFrame) -> DataFrame:
+    """The different addresses of the rows under a key of 32 bytes."""
+    text = F.to_json(F.array(*ROW_KEY))
+    return rows.select(*ROW_KEY).distinct().withColumn("key", F.unhex(F.sha2(text, 256)))
+
+
+def earlier_evidence(
+    spark: SparkSession, job: Job, asked: DataFrame, manifest: DataFrame, stage: Stage, tag: str
+) -> DataFrame:
+    """Evidence of the addresses ``asked`` (``snapshot, url, key``) in the runs that count.
+
+    The history of addresses tells which runs have some; evidence of other runs is not opened.
+    """
+    met = histories(spark, job)[1].lookup(asked, base_runs(manifest), stage, f"maybe_address{tag}")
+    holders = [r[0] for r in met.select("run_id").distinct().collect()]  # a name for each run
+    if not holders:
+        return spark.createDataFrame([], EVIDENCE)
+    rows = read_or_empty(spark, job.table("evidence"), EVIDENCE).filter(F.col("run_id").isin(holders))
+    return rows.join(asked.select(*ROW_KEY), ROW_KEY, "left_semi")
+
+
 def judged_texts(
     spark: SparkSession, job: Job, pages: DataFrame, manifest: DataFrame, stage: Stage, tag: str
 ) -> DataFrame:
@@ -237,8 +269,7 @@ def judged_texts(
     place = F.struct(F.col(ORDER), F.coalesce("source_file", F.lit("")).alias("source_file"), "snapshot", "url")
     first = pages.filter("text_key IS NOT NULL").groupBy("text_key").agg(F.min(place).alias("own"))
     first = stage(first.withColumn("key", F.unhex("text_key")), f"first{tag}")
-    runs = [r[0] for r in manifest.select(base_run().alias("r")).distinct().collect()]
-    met = TextHistory(spark, job.table("seen_text")).lookup(first, runs, stage, f"maybe{tag}")
+    met = TextHistory(spark, job.table("seen_text")).lookup(first, base_runs(manifest), stage, f"maybe{tag}")
     old = met.groupBy("key").agg(F.min(F.struct("source_file", ORDER, "snapshot", "url")).alias("old"))
     wins = F.col("old").isNull() | (
         F.struct("own.source_file", f"own.{ORDER}") < F.struct("old.source_file", f"old.{ORDER}")
@@ -269,11 +300,12 @@ def write_run(
     own = own.withColumn("source_file", F.coalesce("source_file", F.lit("")))
     own = stage(own.filter("url IS NOT NULL").select(*EVIDENCE.fieldNames()), f"evidence{tag}")
     write_partitions(own, job.table("evidence"), "run_id")
-    earlier = committed(read_or_empty(spark, job.table("evidence"), EVIDENCE), manifest)
+    histories(spark, job)[1].write(with_address_key(own).withColumn("run_id", F.lit(run_id)), run_id)
     gone = committed(read_or_empty(spark, job.table("displaced"), DISPLACED), manifest)
     gone = gone.select("source_file", ORDER).unionAll(lost.select("source_file", ORDER))
-    asked = own.select(*ROW_KEY).unionAll(lost.select(*ROW_KEY)).distinct()
-    met = earlier.join(asked, ROW_KEY, "left_semi").join(gone, ["source_file", ORDER], "left_anti")
+    asked = stage(with_address_key(own.select(*ROW_KEY).unionAll(lost.select(*ROW_KEY))), f"asked{tag}")
+    met = earlier_evidence(spark, job, asked, manifest, stage, tag)
+    met = met.join(gone, ["source_file", ORDER], "left_anti")
     whole = own.unionByName(stage(met, f"met_again{tag}"))
     merged = finished(merge_by_url(whole, ["source_file", ORDER], job.url_salts))
     listings = stage(merged, f"listings{tag}")
@@ -400,13 +432,14 @@ def _runs(spark: SparkSession, job: Job, inputs: Inputs, limit: int | None) -> l
 
 
 def compact_history(spark: SparkSession, job: Job) -> bool:
-    """Put the texts of all runs together once they are in many generations."""
-    runs = read_manifest(spark, job).select(base_run().alias("r")).distinct()
-    names = [r[0] for r in runs.collect()]
-    history = TextHistory(spark, job.table("seen_text"))
-    if len(history.generations(names)) <= GENERATIONS:
-        return False
-    return history.compact(names, f"whole-{uuid.uuid4().hex[:12]}")
+    """Put the texts and addresses of all runs together once they are in many generations."""
+    names = base_runs(read_manifest(spark, job))
+    done = [
+        history.compact(names, f"whole-{uuid.uuid4().hex[:12]}")
+        for history in histories(spark, job)
+        if len(history.generations(names)) > GENERATIONS
+    ]
+    return any(done)
 
 
 def run_batch(spark: SparkSession, job: Job, inputs: Inputs = Inputs()) -> str | None:

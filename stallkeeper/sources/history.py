@@ -1,4 +1,4 @@
-"""Texts that earlier runs have seen: keys in buckets, a Bloom filter for each, exact where it matters.
+"""Texts or addresses that earlier runs have seen: keys in buckets, a Bloom filter for each, exact where it matters.
 
 A generation is what one run adds: ``keys/generation=…/bucket=…`` holds binary keys in ascending order with
 where the text was seen, ``filters/generation=…`` one Bloom filter per bucket. A lookup streams its keys
@@ -62,13 +62,15 @@ def may_hold(bits: bytes, keys: np.ndarray) -> np.ndarray:
 
 
 class TextHistory:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    """``schema``: the key, what is kept of it, and at the end generation and bucket."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = SEEN):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.log = CommitLog(spark, f"{self.path}/replaced", REPLACED)
 
     def write(self, rows: DataFrame, generation: str) -> None:
-        """``key, snapshot, source_file, page_order, url`` as a generation; it counts when callers say so."""
-        named = rows.select(*SEEN.fieldNames()[:5], bucket_of(F.col("key")).alias("bucket"))
+        """The key and what is kept of it as a generation; it counts when callers say so."""
+        named = rows.select(*self.schema.fieldNames()[:-2], bucket_of(F.col("key")).alias("bucket"))
         dealt = named.repartition("bucket").sortWithinPartitions("bucket", "key")
         folder = f"{self.path}/keys/generation={generation}"
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
@@ -83,7 +85,7 @@ class TextHistory:
                 whole = np.concatenate(parts)
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "bits": [bloom(whole)], "keys": [len(whole)]})
 
-        keys = read_or_empty(self.spark, f"{self.path}/keys", SEEN).filter(F.col("generation") == generation)
+        keys = read_or_empty(self.spark, f"{self.path}/keys", self.schema).filter(F.col("generation") == generation)
         narrow = keys.select("bucket", "key").repartition("bucket")
         filters = narrow.mapInArrow(build, T.StructType(FILTERS.fields[:3]))
         filters.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/filters/generation={generation}")
@@ -99,7 +101,7 @@ class TextHistory:
     def lookup(self, keys: DataFrame, names: Iterable[str], stage: Stage, name: str = "maybe") -> DataFrame:
         """Rows of the history under ``key``s (distinct, 32 bytes) in the generations of these names."""
         names = sorted(self.generations(names))
-        whole = read_or_empty(self.spark, f"{self.path}/keys", SEEN)
+        whole = read_or_empty(self.spark, f"{self.path}/keys", self.schema)
         if not names:
             return whole.filter(F.lit(False))
         filters = read_or_empty(self.spark, f"{self.path}/filters", FILTERS)
@@ -136,12 +138,12 @@ class TextHistory:
         whole = whole.filter(reduce(lambda a, b: a | b, parts))
         if sum(r["n"] for r in hit) <= SENT_KEYS:
             maybe = F.broadcast(maybe)
-        return whole.join(maybe, ["generation", "bucket", "key"], "left_semi").select(*SEEN.fieldNames())
+        return whole.join(maybe, ["generation", "bucket", "key"], "left_semi").select(*self.schema.fieldNames())
 
     def compact(self, names: Iterable[str], new: str) -> bool:
         """One generation in place of these; False if another compaction came between."""
         version = self.log.version()
         old = sorted(self.generations(names))
-        rows = read_or_empty(self.spark, f"{self.path}/keys", SEEN).filter(F.col("generation").isin(old))
+        rows = read_or_empty(self.spark, f"{self.path}/keys", self.schema).filter(F.col("generation").isin(old))
         self.write(rows, new)
         return self.log.put(version + 1, [{"old": o, "new": new} for o in old])

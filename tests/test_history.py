@@ -137,3 +137,34 @@ def test_generations_are_put_together(spark, tmp_path, archive, monkeypatch):  #
     run_all(spark, job)
     assert urls(spark, job) == ["1", "5"]
     assert not list((tmp_path / "out").glob("_pending/*"))
+
+
+def test_a_run_opens_the_evidence_of_runs_that_share_an_address_only(spark, tmp_path, archive, monkeypatch):  # noqa: F811
+    job = job_in(tmp_path, files_per_run=1)
+    for name in "1234":
+        archive(name, (URL + name, page(f"title {name}", f"text {name}")))
+    run_all(spark, job)
+    manifest = read_manifest(spark, job)
+    run_of = {r.source_file.rsplit("/", 1)[1][0]: r.run_id for r in manifest.collect()}
+    stage = stages_in(str(tmp_path / "work"))
+
+    def met(tag, *names):
+        rows = spark.createDataFrame([("all", URL + n) for n in names], "snapshot string, url string")
+        found = batch.earlier_evidence(spark, job, batch.with_address_key(rows), manifest, stage, tag)
+        return found, sorted(r.run_id for r in found.collect())
+
+    assert met("two", "2", "4", "9")[1] == sorted((run_of["2"], run_of["4"]))
+    found, runs = met("new", "8", "9")
+    assert runs == [] and "FileScan" not in found._jdf.queryExecution().executedPlan().toString()
+    plan = met("plan", "3")[0]._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert run_of["3"] in filters and not any(run_of[n] in filters for n in "124")
+    # A generation that stands for several runs still names each.
+    monkeypatch.setattr(batch, "GENERATIONS", 1)
+    assert batch.compact_history(spark, job)
+    assert met("after", "1", "4")[1] == sorted((run_of["1"], run_of["4"]))
+    # The evidence of an earlier run is merged with that of a later one.
+    archive("5", (URL + "2", page("later title", "other text", "i.png")), (URL + "5", page("five", "5")))
+    run_all(spark, job)
+    row = read_listings(spark, job).filter(F.col("url") == URL + "2").first()
+    assert row.title == "title 2" and row.image == "i.png"
