@@ -106,13 +106,16 @@ def listing_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared(listings)
 
 
-def _sample_job(spark: SparkSession, sf_dir: str) -> tuple[Job, Inputs]:
+def _sample_job(spark: SparkSession, sf_dir: str, archives: int | None = None) -> tuple[Job, Inputs]:
     """The sample crawl as archives on disk, and the tables a job over them uses."""
     root = scratch(spark)
+    pages = sample_crawl.crawl(spark, sf_dir)
     # Sorted, so the archives' names and lines follow the page order.
-    write_archives(
-        sample_crawl.crawl(spark, sf_dir).orderBy("page_order"), f"{root}/in/{CRAWLER}/data_pages"
-    )
+    if archives is None:
+        pages = pages.orderBy("page_order")
+    else:
+        pages = pages.repartitionByRange(archives, "page_order").sortWithinPartitions("page_order")
+    write_archives(pages, f"{root}/in/{CRAWLER}/data_pages")
     parts = table(spark, sf_dir, "part")
     fetched = parts.select(
         sample_crawl.image_url(F.col("p_partkey")).alias("url"), F.lit("store").alias("path")
@@ -171,13 +174,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _in_archives(spark: SparkSession, sf_dir: str, archives: int = 8) -> tuple[Job, Inputs]:
     """The sample job with its crawl in several archives, one file to a run."""
-    job, inputs = _sample_job(spark, sf_dir)
-    root = scratch(spark)
-    pages = sample_crawl.crawl(spark, sf_dir).repartitionByRange(archives, "page_order")
-    write_archives(
-        pages.sortWithinPartitions("page_order"), f"{root}/in/{CRAWLER}/data_pages"
-    )
-    return replace(job, input_root=f"{root}/in", output_root=f"{root}/out", files_per_run=1), inputs
+    job, inputs = _sample_job(spark, sf_dir, archives)
+    return replace(job, files_per_run=1), inputs
 
 
 def multi_run_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -677,10 +675,9 @@ def dedup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark)
-    documents = (
-        spark.readStream.schema(table(spark, sf_dir, "documents").schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
+    # A pattern, because a stream takes neither a single file nor files in a folder of that name otherwise.
+    documents = spark.readStream.schema(table(spark, sf_dir, "documents").schema).parquet(
+        f"{sf_dir}/documents.parque[t]"
     )
     (
         dedup_stream(documents, "doc_id")
