@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from stallkeeper import constants
@@ -16,6 +16,10 @@ from stallkeeper.schemas import PARSED
 # The scanner travels inside the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(html_scan)
 
+# Rows and bytes of an Arrow batch. A worker holds one with all that is found on its pages, whatever the input.
+BATCH_ROWS = 512
+BATCH_BYTES = 32 * 1024 * 1024
+
 _NAMES = {
     "seller": constants.SELLER_BLOCK_CLASS,
     "span": constants.SELLER_SPAN_CLASS,
@@ -24,6 +28,16 @@ _NAMES = {
 }
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """Python workers get at most these rows and bytes at once, unless the session asks for less."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        # As a number of bytes; 0 and less stand for no limit.
+        now = int(str(spark.conf.get(name)).lower().removesuffix("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
+
+
 def parse_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Replace the ``html`` column by the columns of ``PARSED``; all others pass through.
 
@@ -31,6 +45,7 @@ def parse_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataF
     its output are not pushed below it. Put URL and content filters before it. A page the scanner
     cannot read gets the empty text, which the boilerplate filter drops.
     """
+    in_small_batches(pages.sparkSession)
     kept = [f for f in pages.schema.fields if f.name != html]
     output = T.StructType(kept + PARSED.fields)
     types = {f.name: to_arrow_type(f.dataType) for f in PARSED.fields}
