@@ -87,7 +87,7 @@ class Job:
     task: str | None = None
     # Files of one run. What exceeds it is left for the next run; the listings do not depend on it.
     files_per_run: int = 10_000
-    # Tasks to parse in when archives are fewer than cores; None keeps one task per archive.
+    # Tasks to parse in. None deals the lines out by size when archives are fewer than cores.
     spread: int | None = None
     url_salts: int = 1
 
@@ -177,7 +177,15 @@ def ordered_lines(spark: SparkSession, job: Job, files: DataFrame, paths: list[s
     )
     line_no = F.col("row_no").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     ordered = lines.withColumn(ORDER, F.shiftleft("file_no", ROW_BITS) + line_no)
-    return ordered.repartition(job.spread) if job.spread else ordered
+    if job.spread:
+        return ordered.repartition(job.spread)
+    # By a number that is unique: equal parts, without the sort that a deal in turn takes.
+    return ordered.repartition(ORDER) if dealt_out(spark, job, len(paths)) else ordered
+
+
+def dealt_out(spark: SparkSession, job: Job, archives: int) -> bool:
+    """Whether lines leave the task that has read their archive before anything is made of them."""
+    return bool(job.spread) or archives < spark.sparkContext.defaultParallelism
 
 
 def enriched(
@@ -338,6 +346,9 @@ def commit_run(
     work = f"{shared.rstrip('/')}/{stem}-{uuid.uuid4().hex[:12]}"  # of this attempt alone
     stage, log_of_runs = stages_in(work), manifest_log(spark, job)
     try:
+        if dealt_out(spark, job, len(chosen)):
+            # Read by few tasks, so once: the pages and the facts about lines are made by all.
+            lines = stage(lines, "lines")
         counted, counters = observed(
             lines,
             has_content(F.col("content")),
