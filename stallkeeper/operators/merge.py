@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stallkeeper.schemas import CANDIDATE, MERGED
 
@@ -27,6 +27,20 @@ def merge_page(pages: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
+def _numbered(pages: DataFrame, order: list[str]) -> tuple[DataFrame, list[str]]:
+    """The pages with a number in place of the first column, which names files, and the new order.
+
+    Every column of the merge carries the place of its page, so a path of a hundred bytes would be sorted
+    and moved some twenty times a page. There are as many names as files.
+    """
+    name, *rest = order
+    in_order = Window.orderBy(F.col("_name").asc_nulls_first())
+    numbers = pages.select(F.col(name).alias("_name")).distinct()
+    numbers = numbers.select("_name", F.row_number().over(in_order).alias("_file"))
+    known = pages.join(F.broadcast(numbers), pages[name].eqNullSafe(numbers["_name"]))
+    return known.drop("_name"), ["_file", *rest]
+
+
 def merge_by_url(pages: DataFrame, order: str | list[str], salts: int = 1) -> DataFrame:
     """One row per snapshot and URL; per field the first non-null value in page order stays.
 
@@ -38,6 +52,8 @@ def merge_by_url(pages: DataFrame, order: str | list[str], salts: int = 1) -> Da
     """
     keys = ["snapshot", "url"]
     order = [order] if isinstance(order, str) else order
+    if len(order) > 1:
+        pages, order = _numbered(pages, order)
     at = f"struct({', '.join(order)})" if len(order) > 1 else order[0]
     names = [f.name for f in MERGED.fields if f.name != "text"]
     firsts = [
