@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stallkeeper.plans.stages import Stage, scratch, stages_in
+
 
 def shuffled_order(key: str, seed: int) -> Column:
     """Pseudo-random order that any engine with MD5 can reproduce."""
@@ -17,27 +19,35 @@ def shuffled_order(key: str, seed: int) -> Column:
 
 
 def topics(
-    df: DataFrame, key: str, text: str = "text", k: int = 8, seed: int = 42, max_iter: int = 10
+    df: DataFrame,
+    key: str,
+    text: str = "text",
+    k: int = 8,
+    seed: int = 42,
+    max_iter: int = 10,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Most likely topic per row (online LDA) and its weight.
 
-    Words are hashed, so no vocabulary is collected and none is cut; every iteration reads every
-    text.
+    Words are hashed, so no vocabulary is collected and none is cut. The texts are cut into words
+    once; every iteration reads the staged counts of every text.
     """
-    stages = [
+    cut = [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+", minTokenLength=3),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=1 << 16),
-        LDA(
-            k=k,
-            seed=seed,
-            maxIter=max_iter,
-            subsamplingRate=1.0,
-            featuresCol="_counts",
-            topicDistributionCol="_topics",
-        ),
     ]
+    lda = LDA(
+        k=k,
+        seed=seed,
+        maxIter=max_iter,
+        subsamplingRate=1.0,
+        featuresCol="_counts",
+        topicDistributionCol="_topics",
+    )
     prepared = df.select(key, F.coalesce(text, F.lit("")).alias("_text"))
-    weights = Pipeline(stages=stages).fit(prepared).transform(prepared)
+    stage = stage or stages_in(scratch(df.sparkSession))
+    counts = stage(PipelineModel(cut).transform(prepared).select(key, "_counts"), "counts")
+    weights = lda.fit(counts).transform(counts)
     mix = weights.select(key, vector_to_array("_topics").alias("mix"))
     return mix.select(
         key,
