@@ -12,10 +12,15 @@ that died leaves nothing that a search could see, and a rerun under the same nam
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stallkeeper.operators.parse import in_small_batches
 from stallkeeper.schemas import POSTINGS, TOTALS
 from stallkeeper.sources.manifest import read_or_empty
 from stallkeeper.sources.storage import remove
@@ -31,6 +36,37 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
+def word_positions(rows: DataFrame) -> DataFrame:
+    """``key, word, positions, length`` of every different word of each row ``key, words``.
+
+    ``words`` ends with the empty word, which does not count for the length. Nothing is shuffled.
+    """
+    in_small_batches(rows.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lists = batch.column(0), batch.column(1)
+            sizes = pc.list_value_length(lists).to_numpy()
+            found = pc.list_flatten(lists).dictionary_encode()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            position = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            pair = row * len(found.dictionary) + found.indices.to_numpy()
+            order = np.argsort(pair, kind="stable")  # positions stay in order
+            pair = pair[order]
+            heads = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][: len(pair)])
+            at = order[heads]
+            ends = pa.array(np.r_[heads, len(pair)], pa.int32())
+            columns = [
+                keys.take(pa.array(row[at])),
+                found.take(pa.array(at)).dictionary_decode(),
+                pa.ListArray.from_arrays(ends, pa.array(position[order], pa.int32())),
+                pa.array(sizes[row[at]] - 1, pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "word", "positions", "length"])
+
+    return rows.mapInArrow(run, "key bigint, word string, positions array<int>, length int")
+
+
 class TextIndex:
     """Documents under distinct keys (64-bit integers). Rows without a key cannot be found and are left out."""
 
@@ -40,20 +76,24 @@ class TextIndex:
     def add(
         self, rows: DataFrame, generation: str, key: str = "doc_id", text: str = "text", parts: int = PARTS
     ) -> None:
-        """Index the rows as a generation, with one shuffle of ``(word, key, position)``.
+        """Index the rows as a generation, with one shuffle of ``(word, key, positions)``.
 
-        A key belongs to one generation: indexed again, it would be found twice.
+        The positions of a word are brought together in the document's own task. A key belongs to one
+        generation: indexed again, it would be found twice.
         """
         own = rows.filter(F.col(key).isNotNull())
         own = own.select(F.col(key).cast("long").alias("key"), words(F.col(text)).alias("words"))
         listed = F.concat("words", F.array(F.lit("")))
-        placed = own.select("key", F.size("words").alias("length"), F.posexplode(listed).alias("position", "word"))
+        placed = word_positions(own.select("key", listed.alias("words")))
         bucket = F.pmod(F.crc32("word"), F.lit(BUCKETS)).cast("int").alias("bucket")
         part = F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part")
-        dealt = placed.select("*", bucket, part).repartition("bucket", "part")
-        postings = dealt.groupBy("bucket", "part", "word", "key").agg(
-            F.sort_array(F.collect_list("position")).alias("positions"), F.first("length").alias("length")
-        )
+        postings = placed.select("*", bucket, part).repartition("bucket", "part")
+        if not own.groupBy("key").count().filter("count > 1").isEmpty():
+            # Rows that share a key are one document.
+            postings = postings.groupBy("bucket", "part", "word", "key").agg(
+                F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
+                F.first("length").alias("length"),
+            )
         ordered = postings.sortWithinPartitions("bucket", "word", "key")
         remove(self.spark, f"{self.path}/totals/generation={generation}")
         ordered.select("word", "key", "positions", "length", "bucket").write.mode("overwrite").partitionBy(
