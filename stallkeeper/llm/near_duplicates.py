@@ -73,6 +73,7 @@ class Level:
 
 LEVELS = (Level(128, 2, 1), Level(1024, 4, 1))
 BLOCK = 128
+AT_ONCE = 1 << 17
 
 _WORD = re.compile(r"\w+")
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -113,7 +114,20 @@ def shingles(words: list[str], known: dict[str, int]) -> tuple[np.ndarray, np.nd
 
 
 def sketches(sets: list[tuple[np.ndarray, np.ndarray]], slots: int) -> np.ndarray:
-    """The shingle that arrives first in each slot of each text, folded to 32 bits."""
+    """The shingle that arrives first in each slot of each text, folded to 32 bits.
+
+    About ``AT_ONCE`` shingles and slots are worked on at once, which bounds the memory.
+    """
+    parts, start, size = [], 0, 0
+    for at, (h, _) in enumerate(sets):
+        size += len(h) + slots
+        if size >= AT_ONCE or at + 1 == len(sets):
+            parts.append(_sketches(sets[start : at + 1], slots))
+            start, size = at + 1, 0
+    return np.concatenate(parts)
+
+
+def _sketches(sets: list[tuple[np.ndarray, np.ndarray]], slots: int) -> np.ndarray:
     hashes = np.concatenate([h for h, _ in sets])
     weights = np.concatenate([w for _, w in sets])
     owner = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])
