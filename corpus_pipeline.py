@@ -73,10 +73,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document that is left, a row for each; a null or empty text has none.
 
-    ``decoded_sha256`` is of what the ids decode to.
+    ``decoded_sha256`` is of what the ids decode to. The ids are written in between: a task that encodes and
+    decodes would have two Python workers, which stay beside the executor's JVM.
     """
     spec = tokenizer_spec()
-    encoded = bpe_decode(bpe_encode(docs, spec), spec)
+    ids = new_stage(spark)(bpe_encode(docs, spec), "ids")
+    encoded = bpe_decode(ids, spec)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -15,6 +16,8 @@ from stallkeeper.plans.stages import scratch, stages_in
 # Rows and bytes of an Arrow batch: a batch of very long texts must still fit in memory.
 BATCH_ROWS = 512
 BATCH_BYTES = 32 * 1024 * 1024
+# Removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def new_stage(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
-    """A writer of stage tables below a new folder in the cluster's shared one."""
-    return stages_in(scratch(spark))
+    """A writer of stage tables below a new folder in the cluster's shared one.
+
+    What a write has shuffled is not read again, as its table is, so these files go when it ends; else they
+    would stay until the driver happens to collect its garbage.
+    """
+    write = stages_in(scratch(spark))
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        before = spark.conf.get(CLEANUP)
+        spark.conf.set(CLEANUP, "true")
+        try:
+            return write(df, name)
+        finally:
+            spark.conf.set(CLEANUP, before)
+            give_back()
+
+    return stage
 
 
 def remainder(key: str | Column, parts: int) -> Column:
@@ -39,6 +57,18 @@ def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
     return rows.where(million < F.lit(math.ceil(1_000_000 * share)))
 
 
+def give_back() -> None:
+    """Returns memory that is free to the system.
+
+    Python workers stay for the tasks of later stages, beside the executor's JVM; without this each keeps
+    about what its largest task took. So does the driver's Python after a fit.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 def map_batches(
     rows: DataFrame,
     function: Callable[[Iterable[pa.RecordBatch]], Iterator[dict]],
@@ -62,6 +92,8 @@ def map_batches(
                 for f in target
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        columns = arrays = None
+        give_back()
 
     return rows.mapInArrow(run, schema)
 
@@ -91,6 +123,7 @@ def sent_along(spark: SparkSession, thing: object) -> Callable[[], object]:
     Only for things of a proven size. ``broadcast`` itself would ask executors for the package.
     """
     packed = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    give_back()
     return lambda: cloudpickle.loads(packed.value)
 
 

@@ -153,6 +153,7 @@ class BlockMaxIndex:
         np.cumsum([len(t) for t, _ in pairs], out=self.begin[1:])
         term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in pairs)])
         self.weight = np.concatenate([np.zeros(0), *(w for _, w in pairs)])
+        del pairs, whole, likeness  # as large as the index, which is inverted next
         self._invert(term)
 
     def __getstate__(self):
@@ -433,6 +434,7 @@ def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> To
     for e in order:
         t, c = (np.frombuffer(found.column(x)[e].as_py(), np.int32) for x in ("terms", "counts"))
         units.append(unit_vector(t, c, idf))
+    del found
     kept = [i for i, (t, _) in enumerate(units) if len(t)]
     order = [order[i] for i in kept]
     model = ToxicityModel(
@@ -444,6 +446,7 @@ def fit_toxicity(labelled: DataFrame, docs: DataFrame, text: str = "text") -> To
         [toxic[e] for e in order],
         np.zeros(SHARE_STEPS),
     )
+    del units, names, texts, toxic  # the model has what is needed of them
     shared = sent_along(spark, model)
 
     def shares(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
