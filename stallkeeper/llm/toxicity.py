@@ -373,11 +373,15 @@ def _vocabulary(texts: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def _sampled(rows: DataFrame) -> DataFrame:
-    """About ``MAX_BYTES`` of the texts, by the hash of the id, in the bounds of the fit."""
+    """About ``MAX_BYTES`` of the texts, by the hash of the id, in the bounds of the fit.
+
+    Callers sample by a hash of the id too (``bounded_sample``). Rows that are there because theirs is small
+    would nearly all be taken if it were asked for again, so the hash is one of its own.
+    """
     size = F.octet_length(F.coalesce("text", F.lit("")))
     rows = rows.where(size <= MAX_TEXT)
     whole = rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    million = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    million = F.pmod(F.xxhash64(F.lit("bytes"), "id"), F.lit(1_000_000))
     return rows.where(million < F.lit(math.ceil(1_000_000 * min(1.0, MAX_BYTES / max(whole, 1)))))
 
 
