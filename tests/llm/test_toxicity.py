@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cases import awkward, empty
-from stallkeeper.llm.common import table
+from stallkeeper.llm.common import bounded_sample, table
 from stallkeeper.llm.queries import op5_toxicity
 from stallkeeper.llm import toxicity
 from stallkeeper.llm.toxicity import BlockMaxIndex, fit_toxicity, score_toxicity
@@ -150,3 +150,13 @@ def test_examples_need_no_toxic_word(spark):
     assert all(e.id == str(i) and e.toxic == int(i < 20) for i, e in exact.items())
     assert {e.toxic for e in exact.values()} == {0.0, 1.0}
     assert len(exact) > 40  # the examples' part of the labelled texts
+
+
+def test_sample_of_a_sample_has_about_its_bytes(spark, monkeypatch):
+    """Labelled rows that the caller has sampled by their id are sampled anew, not by the same hash again."""
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 20_000)
+    rows = spark.range(40_000).select(F.col("id").cast("string"), F.lit("x" * 100).alias("text"))
+    assert 130 <= toxicity._sampled(rows).count() <= 280  # of 200
+    given = bounded_sample(rows, "id", 2_000)
+    assert 1_700 <= given.count() <= 2_300
+    assert 130 <= toxicity._sampled(given).count() <= 280
